@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import bpe, chunks, components, repetition
+from threadloom.llm import bpe, chunks, components, leakage, overlap, repetition
 from threadloom.sources.tables import table
 
 
@@ -18,6 +18,16 @@ def _summaries(spark: SparkSession, base: str, tabs: tuple[str, ...] = ("chosen"
     return components.union_all(parts)
 
 
+def p3_found(spark: SparkSession, base: str) -> DataFrame:
+    pairs = overlap.cross_split_overlaps(table(spark, base, "sft"))
+    return pairs.select(F.least("train_id", "other_id").alias("row_a"), F.greatest("train_id", "other_id").alias("row_b")).distinct()
+
+
+def p3_report(spark: SparkSession, base: str) -> DataFrame:
+    sft = table(spark, base, "sft")
+    return overlap.overlap_report(sft, overlap.cross_split_overlaps(sft))
+
+
 def p5_found(spark: SparkSession, base: str) -> DataFrame:
     return repetition.repeated_documents(_summaries(spark, base), ["tab", "row_id"], "summary").select("tab", "row_id")
 
@@ -53,6 +63,23 @@ def p7_ids(spark: SparkSession, base: str) -> DataFrame:
     return table(spark, base, "documents").select("doc_id", bpe.token_ids(F.col("text"), ranks).alias("ids"))
 
 
+def p8_found(spark: SparkSession, base: str) -> DataFrame:
+    found = leakage.leaked_passages(table(spark, base, "documents"), table(spark, base, "eval_items"))
+    return found.where("kind = 'passage'").select("doc_id", "item_id")
+
+
+def p8_report(spark: SparkSession, base: str) -> DataFrame:
+    """Leaked items of each split."""
+    items = table(spark, base, "eval_items")
+    return leakage.leak_report(leakage.leaked_passages(table(spark, base, "documents"), items), items)
+
+
+def p8_paraphrases(spark: SparkSession, base: str) -> DataFrame:
+    """Documents that hold most of an item's words in order but no long run of them."""
+    found = leakage.leaked_passages(table(spark, base, "documents"), table(spark, base, "eval_items"))
+    return found.where("kind = 'paraphrase'").select("doc_id", "item_id", "lcs", "item_words")
+
+
 def p9_found(spark: SparkSession, base: str) -> DataFrame:
     return chunks.oversized(table(spark, base, "documents"), "doc_id", "text", bpe.rank_file(spark)).select("doc_id")
 
@@ -62,6 +89,8 @@ def p9_pieces(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES = {
+    "p3_found": p3_found,
+    "p3_report": p3_report,
     "p5_found": p5_found,
     "p5_shares": p5_shares,
     "p6_found": p6_found,
@@ -69,6 +98,9 @@ QUERIES = {
     "p6_sft_splits": p6_sft_splits,
     "p6_split_report": p6_split_report,
     "p7_ids": p7_ids,
+    "p8_found": p8_found,
+    "p8_report": p8_report,
+    "p8_paraphrases": p8_paraphrases,
     "p9_found": p9_found,
     "p9_pieces": p9_pieces,
 }
