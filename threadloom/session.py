@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +32,20 @@ def local_session(cores: int = 8, memory: str = "8g", name: str = "threadloom")
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once a context: they need not find it on their own path."""
+    context = spark.sparkContext
+    if getattr(context, "_threadloom_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="threadloom-")) / "threadloom.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(target))
+    context._threadloom_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, else (a local master only) a temporary one.
 

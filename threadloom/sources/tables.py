@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from threadloom.session import ship
+
 
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """A Parquet table (one file or a folder of files) of a data directory."""
+    ship(spark)
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 
