@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import bpe, chunks, components, leakage, overlap, repetition
+from threadloom.llm import bpe, chunks, components, leakage, overlap, repetition, truncation
 from threadloom.sources.tables import table
 
 
@@ -28,6 +28,21 @@ def p3_report(spark: SparkSession, base: str) -> DataFrame:
     return overlap.overlap_report(sft, overlap.cross_split_overlaps(sft))
 
 
+def p4_found(spark: SparkSession, base: str) -> DataFrame:
+    return truncation.cut_texts(_summaries(spark, base), ["tab", "row_id"], "summary", "source").select("tab", "row_id")
+
+
+def p4_rates(spark: SparkSession, base: str) -> DataFrame:
+    """How many distinct rows of each teacher and model are cut."""
+    return truncation.cut_rates(_summaries(spark, base), ["tab", "row_id"], "summary", "source", ["tab", "source"])
+
+
+def p4_limits(spark: SparkSession, base: str) -> DataFrame:
+    """Lengths at which a source's texts end significantly often."""
+    rows = truncation.endings(_summaries(spark, base), ["tab", "row_id"], "summary", "source")
+    return truncation.length_limits(rows.dropDuplicates(["tab", "row_id"])).select("source", "len", "n", "at_risk")
+
+
 def p5_found(spark: SparkSession, base: str) -> DataFrame:
     return repetition.repeated_documents(_summaries(spark, base), ["tab", "row_id"], "summary").select("tab", "row_id")
 
@@ -91,6 +106,9 @@ def p9_pieces(spark: SparkSession, base: str) -> DataFrame:
 QUERIES = {
     "p3_found": p3_found,
     "p3_report": p3_report,
+    "p4_found": p4_found,
+    "p4_rates": p4_rates,
+    "p4_limits": p4_limits,
     "p5_found": p5_found,
     "p5_shares": p5_shares,
     "p6_found": p6_found,
