@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import bpe, chunks, components, leakage, overlap, repetition, truncation
+from threadloom.llm import bpe, chunks, components, defects, leakage, overlap, repetition, truncation
 from threadloom.sources.tables import table
 
 
@@ -18,6 +18,14 @@ def _summaries(spark: SparkSession, base: str, tabs: tuple[str, ...] = ("chosen"
     return components.union_all(parts)
 
 
+def p2_found(spark: SparkSession, base: str) -> DataFrame:
+    return defects.defective_pairs(*(table(spark, base, t) for t in ("chosen", "dpo", "chains")))
+
+
+def p2_report(spark: SparkSession, base: str) -> DataFrame:
+    return defects.defect_report(p2_found(spark, base))
+
+
 def p3_found(spark: SparkSession, base: str) -> DataFrame:
     pairs = overlap.cross_split_overlaps(table(spark, base, "sft"))
     return pairs.select(F.least("train_id", "other_id").alias("row_a"), F.greatest("train_id", "other_id").alias("row_b")).distinct()
@@ -104,6 +112,8 @@ def p9_pieces(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES = {
+    "p2_found": p2_found,
+    "p2_report": p2_report,
     "p3_found": p3_found,
     "p3_report": p3_report,
     "p4_found": p4_found,
