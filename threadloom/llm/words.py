@@ -7,6 +7,8 @@ import unicodedata
 from collections import defaultdict
 
 WORD = re.compile(r"[^\W_]+")
+#: Every combining mark of the basic plane (one table look-up a character).
+_MARKS = re.compile("[" + "".join(chr(c) for c in range(0x300, 0x10000) if unicodedata.combining(chr(c))) + "]+")
 
 
 def fold(text: str | None) -> str:
@@ -15,8 +17,7 @@ def fold(text: str | None) -> str:
         return ""
     if text.isascii():
         return text.lower()
-    apart = unicodedata.normalize("NFD", text)
-    return "".join(c for c in apart if not unicodedata.combining(c)).casefold()
+    return _MARKS.sub("", unicodedata.normalize("NFD", text)).casefold()
 
 
 def words(text: str | None) -> list[str]:
