@@ -28,52 +28,56 @@ _PLACEHOLDER = (
     r"(content|summary|answer|response|output)\s+(missing|empty|unavailable|not available)|not\s+available|"
     r"leer|kein(e)?\s+inhalt|vide|aucun\s+contenu|vac[ií]o|sin\s+contenido|vazio|sem\s+conte[uú]do)[^\p{L}\p{N}]*$"
 )
-_EDGE = r"^[\s\p{Z}\x{200B}\x{FEFF}\x{2060}]+|[\s\p{Z}\x{200B}\x{FEFF}\x{2060}]+$"
+#: White space and invisible characters at a text's edges, closing quotes and brackets, and sentence marks (fixed values).
+_SPACE = " \t\n\r\f\v\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff"
+_CLOSING = "\"'”’»›)]}」』）】"
+_MARKS = [".", "!", "?", "。", "！", "？", "؟"]
 _ITEM = r"^\s*([-*•–—‣▪◦·]|\d+[.)])\s+\S"
 _BULLET = r"^\s*([-*•–—‣▪◦·]|\d+[.)])\s+"
-_WHOLE = r"[.!?。！？؟][\"'”’»›)\]}」』）\p{Pf}\p{Pe}]*[.。]?$"
-_ELLIPSIS = r"(\.\s?\.+|…)[\"'”’»›)\]}\s]*\.?$"
-_WORDS = r"[\p{L}\p{N}][\p{L}\p{N}\p{M}'’-]*"
+#: A decorated placeholder is no longer than this.
+_PLACEHOLDER_CHARS = 80
 
 
 def has_content(text: Column) -> Column:
     """False for null, blank and punctuation-only texts and for placeholders."""
     t = F.coalesce(text, F.lit(""))
-    return t.rlike(r"[\p{L}\p{N}]") & ~t.rlike(_PLACEHOLDER)
+    return t.rlike(r"[\p{L}\p{N}]") & ~((F.length(t) <= _PLACEHOLDER_CHARS) & t.rlike(_PLACEHOLDER))
 
 
 def trimmed(text: Column) -> Column:
-    return F.regexp_replace(F.coalesce(text, F.lit("")), _EDGE, "")
+    return F.trim(F.coalesce(text, F.lit("")), F.lit(_SPACE))
 
 
 def last_line(text: Column) -> Column:
-    return F.regexp_replace(F.element_at(F.split(text, r"\n"), -1), _EDGE, "")
+    return F.trim(F.substring_index(text, "\n", -1), F.lit(_SPACE))
 
 
-def _tail(sentence: Column) -> Column:
-    """The last three words, lower case, with every number as 0."""
-    found = F.regexp_extract_all(F.regexp_replace(F.lower(sentence), r"\p{N}+", "0"), F.lit(_WORDS), F.lit(0))
-    return F.slice(found, F.greatest(F.size(found) - 2, F.lit(1)), F.lit(3))
+def _plain(text: Column) -> Column:
+    """Lower case, every digit as 0, quotes, brackets and commas left out, ends of sentences and lines as \\u0001."""
+    drop = "\"“”„«»()[]{},;:*"
+    mapped = F.translate(text, "123456789!?。！？\n" + drop, "000000000...." + "." + "\u0001")
+    return F.lower(mapped)
+
+
+def _tail(line: Column, words: int) -> Column:
+    return F.substring_index(F.trim(line, F.lit(" .")), " ", -words)
 
 
 def sentence_ends(texts: DataFrame, text: str = "t") -> DataFrame:
-    """(w, n): how many sentences or items inside texts end with the words ``w`` (two or three, joined by a space).
+    """(w, n): how many sentences or items inside texts end with the words ``w``, the last two or the last three.
 
-    The last sentence of a text says nothing about where sentences end, so it isn't counted.
+    The last sentence of a text says nothing about where sentences end, so it isn't counted. One pass over whole texts
+    with string functions; only counts are shuffled.
     """
-    parts = F.split(F.col(text), r"(?<=[.!?。！？][\"'”’»)\]]{0,2})\s+|\n+")
-    inside = texts.select(F.explode(F.slice(parts, F.lit(1), F.size(parts) - 1)).alias("s"))
-    tails = inside.select(_tail(F.regexp_replace("s", _BULLET, "")).alias("w")).where(F.size("w") >= 2)
-    three = F.when(F.size("w") == 3, F.array_join("w", " "))
-    two = F.array_join(F.slice("w", -2, 2), " ")
-    return (
-        tails.select(F.explode(F.array_compact(F.array(three, two))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
-    )
+    parts = F.split(_plain(F.col(text)), "\u0001+|[.] +")
+    inside = texts.select(F.explode(F.slice(parts, F.lit(1), F.size(parts) - 1)).alias("s")).where("length(s) > 2")
+    tails = inside.select(F.explode(F.array(_tail(F.col("s"), 2), _tail(F.col("s"), 3))).alias("w"))
+    return tails.groupBy("w").agg(F.count("*").alias("n"))
 
 
 def length_limits(texts: DataFrame, source: str = "source", span: int = 20, fdr: float = 1e-3, least: int = 5) -> DataFrame:
-    """(source, len, n, at_risk, hazard, neighbours) of each length at which texts end significantly often."""
-    counts = texts.groupBy(source, F.length("t").alias("len")).agg(F.count("*").alias("n"))
+    """(source, len, n, at_risk, hazard, neighbours) of each length in (source, len) at which texts end significantly often."""
+    counts = texts.groupBy(source, "len").agg(F.count("*").alias("n"))
     by = Window.partitionBy(source).orderBy("len")
     near = by.rangeBetween(-span, span)
     risk = counts.withColumn("at_risk", F.sum("n").over(by.rowsBetween(0, Window.unboundedFollowing)))
@@ -104,46 +108,47 @@ def length_limits(texts: DataFrame, source: str = "source", span: int = 20, fdr:
 
 
 def endings(df: DataFrame, keys: list[str], text: str, source: str) -> DataFrame:
-    """keys, source, t (the trimmed text), ending: ``whole``, ``cut`` or, for a list item without a mark, ``item``."""
+    """keys, source, len, ending (``whole``, ``cut`` or, for a list item without a mark, ``item``), two, three.
+
+    Rows without content are left out. two and three are the last words of an item without a mark.
+    """
     t = df.where(has_content(F.col(text))).select(*keys, F.col(source).alias("source"), trimmed(F.col(text)).alias("t"))
+    core = t.select(*keys, "source", "t", F.rtrim("t", F.lit(_SPACE + _CLOSING)).alias("core"))
+    ellipsis = F.col("core").endswith("…") | F.col("core").endswith("..") | F.col("core").endswith(". .")
     last = last_line(F.col("t"))
-    return t.select(
-        *keys,
-        "source",
-        "t",
-        F.when(F.col("t").rlike(_ELLIPSIS) | F.col("t").endswith("�"), "cut")
-        .when(F.col("t").rlike(_WHOLE), "whole")
+    ending = (
+        F.when(ellipsis | F.col("t").endswith("\ufffd"), "cut")
+        .when(F.right("core", F.lit(1)).isin(_MARKS), "whole")
         .when(last.rlike(_ITEM), "item")
         .otherwise("cut")
-        .alias("ending"),
+    )
+    line = F.when(F.col("ending") == "item", _plain(F.regexp_replace(last, _BULLET, "")))
+    return core.select(*keys, "source", "t", ending.alias("ending")).select(
+        *keys, "source", F.length("t").alias("len"), "ending", _tail(line, 2).alias("two"), _tail(line, 3).alias("three")
     )
 
 
 def cut_texts(df: DataFrame, keys: list[str], text: str, source: str) -> DataFrame:
     """keys, source, length, at_limit of every text with content that stops inside a word or a sentence."""
-    rows = endings(df, keys, text, source)
+    rows = materialize(endings(df, keys, text, source), "endings")
     limits = materialize(length_limits(rows).select("source", "len").coalesce(1), "limits")
-    # Sources times significant lengths: a handful of rows a source, but joined by size, not by hint.
-    items = materialize(rows.where("ending = 'item'").dropDuplicates(keys), "items")
-    ends = sentence_ends(rows)
-    tail = _tail(F.regexp_replace(last_line(F.col("t")), _BULLET, ""))
-    asked = items.select(*keys, "source", F.length("t").alias("len"), tail.alias("w")).withColumns(
-        {"three": F.array_join("w", " "), "two": F.array_join(F.slice("w", F.greatest(F.size("w") - 1, F.lit(1)), F.lit(2)), " ")}
-    )
-    wanted = materialize(asked.select(F.explode(F.array("three", "two")).alias("w")).distinct(), "wanted")
-    known = materialize(ends.join(wanted, "w", "left_semi").select("w"), "ends")
+    at_limit = limits.withColumn("at_limit", F.lit(True))  # a handful of rows a source
+    items = rows.where("ending = 'item'").dropDuplicates(keys)
+    texts = df.where(F.col(text).isNotNull()).select(trimmed(F.col(text)).alias("t"))
+    wanted = materialize(rows.where("ending = 'item'").select(F.explode(F.array("two", "three")).alias("w")).distinct(), "wanted")
+    known = materialize(sentence_ends(texts).join(wanted, "w", "left_semi").select("w"), "ends")
     judged = (
-        asked.join(known.select(F.col("w").alias("three"), F.lit(True).alias("has_three")), "three", "left")
+        items.join(known.select(F.col("w").alias("three"), F.lit(True).alias("has_three")), "three", "left")
         .join(known.select(F.col("w").alias("two"), F.lit(True).alias("has_two")), "two", "left")
-        .join(limits.withColumn("at_limit", F.lit(True)), ["source", "len"], "left")
+        .join(at_limit, ["source", "len"], "left")
         .where(F.when(F.col("at_limit"), F.col("has_three").isNull()).otherwise(F.col("has_two").isNull()))
         .select(*keys, "source", F.col("len").alias("length"), F.coalesce("at_limit", F.lit(False)).alias("at_limit"))
     )
     plain = (
         rows.where("ending = 'cut'")
-        .select(*keys, "source", F.length("t").alias("len"))
+        .select(*keys, "source", "len")
         .distinct()
-        .join(limits.withColumn("at_limit", F.lit(True)), ["source", "len"], "left")
+        .join(at_limit, ["source", "len"], "left")
         .select(*keys, "source", F.col("len").alias("length"), F.coalesce("at_limit", F.lit(False)).alias("at_limit"))
     )
     return plain.unionByName(judged)
