@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadloom.plans import nested
+from threadloom.plans import nested, reference
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**nested.QUERIES}
-SQL: dict[str, str] = {**nested.SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**nested.QUERIES, **reference.QUERIES}
+SQL: dict[str, str] = {**nested.SQL, **reference.SQL}
