@@ -76,7 +76,10 @@ def sentence_ends(texts: DataFrame, text: str = "t") -> DataFrame:
 
 
 def length_limits(texts: DataFrame, source: str = "source", span: int = 20, fdr: float = 1e-3, least: int = 5) -> DataFrame:
-    """(source, len, n, at_risk, hazard, neighbours) of each length in (source, len) at which texts end significantly often."""
+    """(source, len, n, at_risk, hazard, neighbours) of each length in (source, len) at which texts end significantly often.
+
+    Where no text of a source is longer than some length, hazards near that length are high, so it is a limit too.
+    """
     counts = texts.groupBy(source, "len").agg(F.count("*").alias("n"))
     by = Window.partitionBy(source).orderBy("len")
     near = by.rangeBetween(-span, span)
