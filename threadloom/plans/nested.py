@@ -24,4 +24,31 @@ QUERIES = {
     "p1_distractors": _child("distractors", ["text"]),
 }
 
-SQL: dict[str, str] = {}
+CHILDREN = ("peers", "facts", "changes", "distractors")
+
+#: The object of each payload (fences and string wrappings off, the chain of a delivered message), then each child
+#: array, a lone value as an array of one. The fixtures of the tests hold the shapes that this SQL doesn't know.
+_OBJECTS = r"""raw AS (SELECT chain, trim(regexp_replace(regexp_replace(trim(payload), '^```[a-z]*', ''), '```$', '')) AS p FROM chain_raw WHERE payload IS NOT NULL),
+ one AS (SELECT chain, p::JSON AS j FROM raw WHERE json_valid(p)),
+ two AS (SELECT chain, CASE WHEN json_type(j) = 'VARCHAR' THEN CASE WHEN json_valid(j ->> '$') THEN (j ->> '$')::JSON END ELSE j END AS j FROM one),
+ obj AS (SELECT chain, CASE WHEN json_exists(j, '$.result') THEN list_filter(json_extract(j, '$.result.message.content[*].chain'), lambda x: x IS NOT NULL)[1] ELSE j END AS j FROM two WHERE json_type(j) = 'OBJECT')"""
+
+
+def _found_sql() -> str:
+    arrays = " UNION ALL ".join(
+        f"SELECT chain, '{c}' AS child, CASE WHEN json_type(v) = 'ARRAY' THEN json_extract(v, '$[*]') ELSE [v] END AS xs, md5(j::VARCHAR) AS doc"
+        f" FROM (SELECT chain, j, coalesce(json_extract(j, '$.{c}'), json_extract(j, '$.ledger.{c}')) AS v FROM obj) WHERE v IS NOT NULL AND json_type(v) <> 'NULL'"
+        for c in CHILDREN
+    )
+    typed = " UNION ALL ".join(
+        f"SELECT id, '{c}', json_extract(to_json({c}), '$[*]'), md5(to_json({{'p': peers, 'f': facts, 'c': changes, 'd': distractors}})::VARCHAR) FROM chains WHERE {c} IS NOT NULL AND id IS NOT NULL"
+        for c in CHILDREN
+    )
+    return f"""WITH {_OBJECTS}, a AS ({arrays} UNION ALL {typed}),
+ e AS (SELECT DISTINCT chain, child, doc, CAST(p - 1 AS INTEGER) AS pos, xs[p] AS x FROM a, LATERAL (SELECT unnest(range(1, len(xs) + 1)) AS p) WHERE xs[p] IS NOT NULL AND json_type(xs[p]) <> 'NULL'),
+ f AS (SELECT chain, doc, json_extract_string(x, '$.id') AS id, min(pos) AS pos FROM e WHERE child = 'facts' AND json_extract_string(x, '$.id') IS NOT NULL GROUP BY ALL)
+ SELECT DISTINCT e.chain, e.child, e.pos, CASE WHEN e.child = 'changes' THEN coalesce(o.pos, -1) ELSE -1 END AS old_pos, CASE WHEN e.child = 'changes' THEN coalesce(n.pos, -1) ELSE -1 END AS new_pos
+ FROM e LEFT JOIN f o ON o.chain = e.chain AND o.doc = e.doc AND o.id = json_extract_string(e.x, '$.fact_id') LEFT JOIN f n ON n.chain = e.chain AND n.doc = e.doc AND n.id = json_extract_string(e.x, '$.superseded_by')"""
+
+
+SQL: dict[str, str] = {"p1_found": _found_sql()}
