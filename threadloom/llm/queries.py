@@ -134,3 +134,25 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {}
+
+SQL["p5_found"] = """WITH t AS (SELECT DISTINCT 'chosen' AS tab, row_id, summary FROM chosen UNION ALL SELECT DISTINCT 'eval', row_id, summary FROM eval),
+ w AS (SELECT tab, row_id, regexp_extract_all(lower(summary), '[\\p{L}\\p{N}_]+') AS ws FROM t WHERE summary IS NOT NULL),
+ g AS (SELECT tab, row_id, len(ws) AS n, p, list_slice(ws, p, p + 4) AS gram FROM w, LATERAL (SELECT unnest(range(1, len(ws) - 3)) AS p)),
+ r AS (SELECT *, row_number() OVER (PARTITION BY tab, row_id, gram ORDER BY p) AS seen FROM g),
+ c AS (SELECT tab, row_id, n, p, lead(p) OVER (PARTITION BY tab, row_id ORDER BY p) AS following FROM r WHERE seen > 1)
+ SELECT tab, row_id FROM c GROUP BY tab, row_id, n HAVING n >= 10 AND sum(CASE WHEN following IS NULL THEN 5 ELSE least(5, following - p) END) >= 0.3::DOUBLE * n"""
+
+SQL["p6_found"] = """WITH RECURSIVE n AS (SELECT DISTINCT id, trim(regexp_replace(nfc_normalize(lower(p.name)), '[\\s\\p{Z}]+', ' ', 'g')) AS name FROM chains, LATERAL (SELECT unnest(peers) AS p)
+  WHERE id IS NOT NULL AND p.name IS NOT NULL AND trim(regexp_replace(lower(coalesce(p.role, '')), '[\\s\\p{Z}]+', ' ', 'g')) <> 'assistant'),
+ k AS (SELECT * FROM n WHERE name NOT IN ('', 'user', 'guest', 'unknown', 'n/a')), e AS (SELECT DISTINCT a.id AS a, b.id AS b FROM k a JOIN k b USING (name)),
+ r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a), m AS (SELECT b, min(a) AS a FROM r GROUP BY b)
+ SELECT a AS chain_a, b AS chain_b FROM m WHERE a < b"""
+
+SQL["p8_found"] = """WITH d AS (SELECT doc_id, regexp_extract_all(strip_accents(lower(text)), '[\\p{L}\\p{N}]+') AS ws FROM documents WHERE text IS NOT NULL),
+ i AS (SELECT item_id, regexp_extract_all(strip_accents(lower(item_text)), '[\\p{L}\\p{N}]+') AS ws FROM eval_items),
+ dg AS (SELECT DISTINCT doc_id, array_to_string(list_slice(ws, p, p + 11), ' ') AS g FROM d, LATERAL (SELECT unnest(range(1, len(ws) - 10)) AS p)),
+ ig AS (SELECT DISTINCT item_id, array_to_string(list_slice(ws, p, p + 11), ' ') AS g FROM i, LATERAL (SELECT unnest(range(1, len(ws) - 10)) AS p))
+ SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)"""
+
+SQL["p8_report"] = f"""WITH f AS ({SQL["p8_found"]}), h AS (SELECT item_id, count(DISTINCT doc_id) AS n FROM f GROUP BY item_id)
+ SELECT item_split, count(*) AS items, count(n) AS leaked, CAST(coalesce(sum(n), 0) AS BIGINT) AS documents FROM (SELECT DISTINCT item_id, item_split FROM eval_items) LEFT JOIN h USING (item_id) GROUP BY item_split"""
