@@ -60,8 +60,19 @@ def first_of(rows: DataFrame, key: list, order: list) -> DataFrame:
     return rows.groupBy(*key).agg(F.min_by(F.struct(*rows.columns), F.struct(*order)).alias("r")).select("r.*")
 
 
-def running_spend(jobs: DataFrame, cost: str, order: str, cap: float, by: str) -> DataFrame:
-    """Jobs with the spend so far within ``by``, in order, and whether they still start under the cap."""
-    earlier = Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    spent = F.coalesce(F.sum(cost).over(earlier), F.lit(0.0 if dict(jobs.dtypes)[cost] == "double" else 0))
-    return jobs.withColumn("spent_before", spent).withColumn("runs", F.col("spent_before") <= cap)
+def running_spend(jobs: DataFrame, cost: str, order: str, cap: float, by: str, width: int = 10_000) -> DataFrame:
+    """Jobs with the spend so far within ``by``, in order of an integer, and whether they still start under the cap.
+
+    Two levels of prefix sums: over stretches of ``width`` consecutive numbers, then within a stretch, so no group is
+    sorted in one task.
+    """
+    cut = jobs.withColumn("_stretch", F.floor(F.col(order) / width))
+    zero = F.lit(0).cast(dict(jobs.dtypes)[cost])
+    sums = cut.groupBy(by, "_stretch").agg(F.sum(cost).alias("_sum"))
+    above = Window.partitionBy(by).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(by, "_stretch", F.coalesce(F.sum("_sum").over(above), zero).alias("_before"))
+    within = Window.partitionBy(by, "_stretch").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    near = cut.withColumn("_near", F.coalesce(F.sum(cost).over(within), zero))
+    joined = near.join(sums, near["_stretch"].eqNullSafe(sums["_stretch"]) & near[by].eqNullSafe(sums[by]))
+    spent = sums["_before"] + near["_near"]
+    return joined.select(*[near[c] for c in jobs.columns], spent.alias("spent_before"), (spent <= cap).alias("runs"))

@@ -50,15 +50,31 @@ def valid_name(name: Column) -> Column:
 
 
 def until_failure(rows: DataFrame, by: list[str], order: str) -> DataFrame:
-    """Rows up to and including each group's first failed one."""
-    earlier = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("_failed", F.coalesce(F.sum(failed().cast("int")).over(earlier), F.lit(0))).where("_failed = 0").drop("_failed")
-
-
-def longest_streak(rows: DataFrame, by: list[str], order: str, holds: Column) -> DataFrame:
-    """(by, streak): the most rows in a row for which ``holds`` is true: islands by the count of the others so far."""
-    so_far = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    islands = rows.select(*by, order, holds.alias("_h")).withColumn("_island", F.sum((~F.col("_h")).cast("int")).over(so_far))
-    runs = islands.where("_h").groupBy(*by, "_island").agg(F.count("*").alias("n"))
-    longest = runs.groupBy(*by).agg(F.max("n").alias("n"))
-    return rows.select(*by).distinct().join(longest, by, "left").select(*by, F.coalesce("n", F.lit(0).cast("long")).alias("streak"))
+    """Rows up to and including each group's first failed one: its place is aggregated and joined back."""
+    first = rows.where(failed()).groupBy(*by).agg(F.min(order).alias("_first"))
+    return rows.join(first, by, "left").where(F.col("_first").isNull() | (F.col(order) <= F.col("_first"))).drop("_first")
+
+
+def longest_streak(rows: DataFrame, by: list[str], order: str, holds: Column, width: int = 10_000) -> DataFrame:
+    """(by, streak): the most rows in a row, in order of an integer, for which ``holds`` is true.
+
+    Islands are found within stretches of ``width`` consecutive numbers and the stretches' summaries (rows, best streak,
+    streak at the start and at the end) folded in order, so no group is sorted in one task.
+    """
+    cut = rows.select(*by, order, holds.alias("_h"), F.floor(F.col(order) / width).alias("_s"))
+    so_far = Window.partitionBy(*by, "_s").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    islands = cut.withColumn("_island", F.sum((~F.col("_h")).cast("int")).over(so_far)).groupBy(*by, "_s", "_island").agg(
+        F.count_if("_h").alias("n"), F.count("*").alias("rows")
+    )
+    parts = islands.groupBy(*by, "_s").agg(
+        F.sum("rows").alias("rows"),
+        F.max("n").alias("best"),
+        F.coalesce(F.max(F.when(F.col("_island") == 0, F.col("n"))), F.lit(0).cast("long")).alias("head"),
+        F.max_by("n", "_island").alias("tail"),
+    )
+    folded = parts.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_s", "rows", "best", "head", "tail"))).alias("parts"))
+    fold = (
+        "aggregate(parts, named_struct('best', 0L, 'run', 0L), (a, p) -> named_struct("
+        "'best', greatest(a.best, p.best, a.run + p.head), 'run', CASE WHEN p.head = p.rows THEN a.run + p.rows ELSE p.tail END), a -> a.best)"
+    )
+    return folded.select(*by, F.expr(fold).alias("streak"))
