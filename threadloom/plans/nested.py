@@ -16,13 +16,13 @@ def _child(child: str, fields: list[str]):
     return lambda spark, base: child_table(*_both(spark, base), child, fields)
 
 
-QUERIES = {
-    "p1_found": lambda spark, base: child_positions(*_both(spark, base)),
-    "p1_facts": _child("facts", ["id", "text", "first_seq", "kind"]),
-    "p1_changes": _child("changes", ["fact_id", "superseded_by", "seq"]),
-    "p1_peers": _child("peers", ["name", "role", "bio"]),
-    "p1_distractors": _child("distractors", ["text"]),
+FIELDS = {
+    "facts": ["id", "text", "first_seq", "kind"],
+    "changes": ["fact_id", "superseded_by", "seq"],
+    "peers": ["name", "role", "bio"],
+    "distractors": ["text"],
 }
+QUERIES = {"p1_found": lambda spark, base: child_positions(*_both(spark, base))} | {f"p1_{c}": _child(c, f) for c, f in FIELDS.items()}
 
 CHILDREN = ("peers", "facts", "changes", "distractors")
 
@@ -34,7 +34,7 @@ _OBJECTS = r"""raw AS (SELECT chain, trim(regexp_replace(regexp_replace(trim(pay
  obj AS (SELECT chain, CASE WHEN json_exists(j, '$.result') THEN list_filter(json_extract(j, '$.result.message.content[*].chain'), lambda x: x IS NOT NULL)[1] ELSE j END AS j FROM two WHERE json_type(j) = 'OBJECT')"""
 
 
-def _found_sql() -> str:
+def _elements_sql() -> str:
     arrays = " UNION ALL ".join(
         f"SELECT chain, '{c}' AS child, CASE WHEN json_type(v) = 'ARRAY' THEN json_extract(v, '$[*]') ELSE [v] END AS xs, md5(j::VARCHAR) AS doc"
         f" FROM (SELECT chain, j, coalesce(json_extract(j, '$.{c}'), json_extract(j, '$.ledger.{c}')) AS v FROM obj) WHERE v IS NOT NULL AND json_type(v) <> 'NULL'"
@@ -45,10 +45,23 @@ def _found_sql() -> str:
         for c in CHILDREN
     )
     return f"""WITH {_OBJECTS}, a AS ({arrays} UNION ALL {typed}),
- e AS (SELECT DISTINCT chain, child, doc, CAST(p - 1 AS INTEGER) AS pos, xs[p] AS x FROM a, LATERAL (SELECT unnest(range(1, len(xs) + 1)) AS p) WHERE xs[p] IS NOT NULL AND json_type(xs[p]) <> 'NULL'),
+ e AS (SELECT DISTINCT chain, child, doc, CAST(p - 1 AS INTEGER) AS pos, xs[p] AS x FROM a, LATERAL (SELECT unnest(range(1, len(xs) + 1)) AS p) WHERE xs[p] IS NOT NULL AND json_type(xs[p]) <> 'NULL')"""
+
+
+def _found_sql() -> str:
+    return f"""{_elements_sql()},
  f AS (SELECT chain, doc, json_extract_string(x, '$.id') AS id, min(pos) AS pos FROM e WHERE child = 'facts' AND json_extract_string(x, '$.id') IS NOT NULL GROUP BY ALL)
  SELECT DISTINCT e.chain, e.child, e.pos, CASE WHEN e.child = 'changes' THEN coalesce(o.pos, -1) ELSE -1 END AS old_pos, CASE WHEN e.child = 'changes' THEN coalesce(n.pos, -1) ELSE -1 END AS new_pos
  FROM e LEFT JOIN f o ON o.chain = e.chain AND o.doc = e.doc AND o.id = json_extract_string(e.x, '$.fact_id') LEFT JOIN f n ON n.chain = e.chain AND n.doc = e.doc AND n.id = json_extract_string(e.x, '$.superseded_by')"""
 
 
-SQL: dict[str, str] = {"p1_found": _found_sql()}
+def _child_sql(child: str, fields: list[str]) -> str:
+    lone = next((f for f in ("text", "name") if f in fields), None)
+    picked = ", ".join(
+        f"CASE WHEN json_type(x) = 'OBJECT' THEN json_extract_string(x, '$.{f}')" + (" ELSE x ->> '$'" if f == lone else "") + f" END AS {f}"
+        for f in fields
+    )
+    return f"{_elements_sql()} SELECT DISTINCT chain, pos, {picked} FROM e WHERE child = '{child}'"
+
+
+SQL: dict[str, str] = {"p1_found": _found_sql()} | {f"p1_{c}": _child_sql(c, f) for c, f in FIELDS.items()}
