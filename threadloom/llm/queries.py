@@ -142,6 +142,14 @@ SQL["p5_found"] = """WITH t AS (SELECT DISTINCT 'chosen' AS tab, row_id, summary
  c AS (SELECT tab, row_id, n, p, lead(p) OVER (PARTITION BY tab, row_id ORDER BY p) AS following FROM r WHERE seen > 1)
  SELECT tab, row_id FROM c GROUP BY tab, row_id, n HAVING n >= 10 AND sum(CASE WHEN following IS NULL THEN 5 ELSE least(5, following - p) END) >= 0.3::DOUBLE * n"""
 
+SQL["p5_shares"] = """WITH t AS (SELECT DISTINCT 'chosen' AS tab, row_id, summary FROM chosen UNION ALL SELECT DISTINCT 'eval', row_id, summary FROM eval),
+ w AS (SELECT tab, row_id, coalesce(regexp_extract_all(lower(summary), '[\\p{L}\\p{N}_]+'), []) AS ws FROM t),
+ g AS (SELECT tab, row_id, p, list_slice(ws, p, p + 4) AS gram FROM w, LATERAL (SELECT unnest(range(1, len(ws) - 3)) AS p)),
+ r AS (SELECT *, row_number() OVER (PARTITION BY tab, row_id, gram ORDER BY p) AS seen FROM g),
+ c AS (SELECT tab, row_id, p, lead(p) OVER (PARTITION BY tab, row_id ORDER BY p) AS following FROM r WHERE seen > 1),
+ k AS (SELECT tab, row_id, sum(CASE WHEN following IS NULL THEN 5 ELSE least(5, following - p) END) AS repeated FROM c GROUP BY tab, row_id)
+ SELECT w.tab, w.row_id, CAST(len(w.ws) AS INTEGER) AS words, CAST(coalesce(k.repeated, 0) AS INTEGER) AS repeated FROM w LEFT JOIN k ON w.tab = k.tab AND w.row_id = k.row_id"""
+
 SQL["p6_found"] = """WITH RECURSIVE n AS (SELECT DISTINCT id, trim(regexp_replace(nfc_normalize(lower(p.name)), '[\\s\\p{Z}]+', ' ', 'g')) AS name FROM chains, LATERAL (SELECT unnest(peers) AS p)
   WHERE id IS NOT NULL AND p.name IS NOT NULL AND trim(regexp_replace(lower(coalesce(p.role, '')), '[\\s\\p{Z}]+', ' ', 'g')) <> 'assistant'),
  k AS (SELECT * FROM n WHERE name NOT IN ('', 'user', 'guest', 'unknown', 'n/a')), e AS (SELECT DISTINCT a.id AS a, b.id AS b FROM k a JOIN k b USING (name)),
