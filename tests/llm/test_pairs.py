@@ -66,6 +66,49 @@ def test_overlaps(spark):
     assert overlap.cross_split_overlaps(df.where("false")).count() == 0
 
 
+def scattered(ws, share, rng, new):
+    """A copy with a share of its words replaced at random places."""
+    out = list(ws)
+    for j in rng.sample(range(len(ws)), round(len(ws) * share)):
+        out[j] = new()
+    return out
+
+
+def test_overlaps_near_the_least_similarity(spark):
+    rng = random.Random(12)
+    common = [f"w{i}" for i in range(2000)]
+    weights = [1 / (i + 3) for i in range(2000)]
+    rows = []
+    for i in range(120):
+        ws = rng.choices(common, weights, k=400)
+        new = (lambda: f"n{rng.randrange(10**9)}") if i % 2 else (lambda: rng.choices(common, weights)[0])
+        rows.append((2 * i, record(ws), "train", "s"))
+        rows.append((2 * i + 1, record(scattered(ws, 0.19 - 0.03 * (i % 4), rng, new)), "valid", "s"))
+    df = spark.createDataFrame(rows, f"row_id long, messages {MESSAGES}, split string, source string")
+    got = {(r.train_id, r.other_id) for r in overlap.cross_split_overlaps(df).collect()}
+    assert got == {(2 * i, 2 * i + 1) for i in range(120)}
+
+
+def test_overlaps_where_all_records_are_alike(spark):
+    rng = random.Random(13)
+    ws = rng.choices([f"w{i}" for i in range(2000)], k=300)
+    rows = [(i, record(scattered(ws, 0.08, rng, lambda: f"n{rng.randrange(10**9)}")), "test" if i % 2 else "train", "s") for i in range(12)]
+    df = spark.createDataFrame(rows, f"row_id long, messages {MESSAGES}, split string, source string")
+    assert overlap.cross_split_overlaps(df).count() == 36
+    assert overlap.cross_split_overlaps(df.where("row_id < 2")).count() == 1
+
+
+def test_bins_bound_the_words_in_common():
+    import pandas as pd
+
+    rng, sketcher = random.Random(14), overlap.Sketcher()
+    for _ in range(100):
+        a, b = (rng.choices(VOCABULARY, k=rng.randint(1, 400)) + ["the"] * rng.choice([0, 9, 300]) for _ in range(2))
+        (_, _, p, more_p), (_, _, q, more_q) = sketcher(a), sketcher(b)
+        p, q = (overlap._nibbles(pd.Series([x]))[0].astype(int) for x in (p, q))
+        assert sum(map(min, p, q)) + min(more_p, more_q) >= (Counter(a) & Counter(b)).total() and p.sum() + more_p == len(a)
+
+
 def test_copies_are_grouped(spark):
     """A hot group of equal records is compared once and still gives every pair."""
     ws = random.Random(1).choices(VOCABULARY, k=120)
