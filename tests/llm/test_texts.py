@@ -127,3 +127,14 @@ def test_limits_are_found(spark):
     rows = [(x, int(rng.gauss(400, 80))) for x in "st" for _ in range(4000)] + [("s", 300)] * 80
     df = spark.createDataFrame(rows, "source string, len int")
     assert [(r.source, r.len) for r in truncation.length_limits(df).collect()] == [("s", 300)]
+
+
+@pytest.mark.parametrize("clean", [0, 1])
+def test_repetition_is_found_where_every_text_repeats(spark, clean):
+    rng = random.Random(7)
+    rows = [(i, " ".join([" ".join(f"w{rng.randrange(10**6)}" for _ in range(12))] * 3)) for i in range(400)]
+    rows += [(1000 + i, " ".join(f"c{j}" for j in range(60))) for i in range(clean)]
+    df = spark.createDataFrame(rows, "row_id long, summary string")
+    assert {r.row_id for r in repetition.repeated_documents(df, ["row_id"], "summary").collect()} == set(range(400))
+    one = spark.createDataFrame([(1, "a b c d e a b c d e a b c d e")], "row_id long, summary string")
+    assert repetition.repeated_documents(one, ["row_id"], "summary").count() == 1

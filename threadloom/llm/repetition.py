@@ -7,7 +7,8 @@ log-likelihood ratio, target against raw, divided by its length; a document belo
 
 The threshold is fitted, not guessed, and loses nothing: a document with a share ``s`` of repeated words has at least
 ``s / n`` repeated starts a word (a start covers at most ``n`` words), each of which costs at least the smallest
-penalty of the fitted model, while new positions gain at most the gain of *new*. The share itself is then computed
+penalty of the fitted model, while new positions gain at most the gain of *new*. Without enough clean documents the
+penalty can be milder than the gain; then up to all positions count as repeated starts. The share itself is then computed
 exactly for each candidate. Everything is built-in functions over arrays in O(n log n) a document, so one very long
 text neither needs a shuffle nor quadratic time. The model has at most ``BUCKETS`` rows.
 
@@ -133,7 +134,10 @@ def threshold(model: DataFrame, share: float, n: int = 5) -> DataFrame:
     return model.agg(
         F.max(F.when(F.col("bucket") == -1, F.col("ratio"))).alias("gain"),
         F.coalesce(F.max(F.when(F.col("bucket") >= 0, F.col("ratio"))), F.lit(0.0)).alias("mildest"),
-    ).select((F.col("gain") + (share / n) * (F.col("mildest") - F.col("gain")) + 1e-9).alias("most"))
+    ).select(
+        # Where a repeated start is milder than a new position, a document of repeated starts only scores most.
+        (F.col("gain") + F.greatest((share / n) * (F.col("mildest") - F.col("gain")), F.col("mildest") - F.col("gain")) + 1e-9).alias("most")
+    )
 
 
 def repeated_documents(
