@@ -264,3 +264,13 @@ def test_templates_reveal_refusals(spark):
         rows.append((f"x{i}", f"q{i}", strange + (". I cannot summarise this conversation." if i % 4 == 0 else ".")))
     df = spark.createDataFrame(rows, "row string, prompt string, response string").withColumn("n_words", F.size(F.split("response", " ")))
     assert {r.row for r in defects.refusals(df).collect()} == {f"x{i}" for i in range(40)}
+
+
+def test_variants_of_a_template_vote_together(spark):
+    rng = random.Random(3)
+    strange = "Such matters as were raised here over the past days are best left to those who are concerned by them and not to any other"
+    rows = [(f"r{i}", f"p{i % 150}", " ".join(rng.choices(VOCABULARY, k=90)) + ".") for i in range(400)]
+    rows += [(f"x{i}", f"q{i}", f"{strange} party." + " I cannot summarise this conversation." ) for i in range(24)]
+    rows += [(f"y{i}", f"s{i}", f"{strange} person.") for i in range(16)]  # a near copy without a phrase of the lexicon
+    df = spark.createDataFrame(rows, "row string, prompt string, response string").withColumn("n_words", F.size(F.split("response", " ")))
+    assert {r.row for r in defects.refusals(df).collect()} == {f"x{i}" for i in range(24)} | {f"y{i}" for i in range(16)}
