@@ -253,24 +253,71 @@ def test_defects(spark):
     assert defects.defective_pairs(chosen.where("false"), dpo.where("false"), chains.where("false")).count() == 0
 
 
-def test_templates_reveal_refusals(spark):
-    rng = random.Random(2)
-    strange = "Such matters are best left to those concerned by them"
+PAIR = "row string, prompt string, response string, previous string, talk string"
+
+
+def looked(spark, rows):
+    df = spark.createDataFrame(rows, PAIR)
+    talks = df.select(F.col("prompt").alias("id"), F.expr("array(named_struct('peer', '', 'text', talk))").alias("messages")).where("talk IS NOT NULL")
+    return defects.look(df, defects.rarity(df, talks)).dropDuplicates(["row"])
+
+
+def summaries(rng, n=400):
+    """Summaries of talks by the words of the talks, in the corpus' common wording."""
     rows = []
-    for i in range(400):
-        ws = " ".join(rng.choices(VOCABULARY, k=90))
-        rows.append((f"r{i}", f"p{i % 150}", f"Item {rng.randrange(9)} was {rng.choice(VOCABULARY)} today. {ws}."))
-    for i in range(40):
-        rows.append((f"x{i}", f"q{i}", strange + (". I cannot summarise this conversation." if i % 4 == 0 else ".")))
-    df = spark.createDataFrame(rows, "row string, prompt string, response string").withColumn("n_words", F.size(F.split("response", " ")))
-    assert {r.row for r in defects.refusals(df).collect()} == {f"x{i}" for i in range(40)}
+    for i in range(n):
+        talk = rng.choices(VOCABULARY, k=60)
+        said = rng.sample(talk, 12)
+        rows.append((f"r{i}", f"p{i % 150}", f"It was settled that {said[0]} and {said[1]} stay on the list of all. They went over {' '.join(said[2:])}.", None, " ".join(talk) + " the and that was for of on"))
+    return rows
+
 
+def told(spark, rows):
+    return {r.row: r.evidence for r in defects.refusals(looked(spark, rows)).collect()}
 
-def test_variants_of_a_template_vote_together(spark):
+
+def test_templates_reveal_refusals_without_a_lexicon(spark, monkeypatch):
+    monkeypatch.setattr(defects, "DECLINE", __import__("re").compile("(?!)"))
+    rng = random.Random(2)
+    talk = lambda: " ".join(rng.choices(VOCABULARY, k=60)) + " the and that was for of on"
+    strange = "Such matters are best left to those concerned by them"
+    rows = summaries(rng)
+    # A wording that no lexicon has, a long one beside it, one too rare to recur, and one made of its phrases.
+    rows += [(f"x{i}", f"q{i}", f"{strange}." if i % 2 else f"{strange}. " + "Nobody gains by another pair of eyes here. " * 9, None, talk()) for i in range(40)]
+    rows += [("rare", "q900", "One would sooner not touch any such thing.", None, talk())]
+    rows += [("made", "q901", "Regrettably, such matters are best left to those nearby.", None, talk())]
+    rows += [("none", None, f"{strange}.", None, None)]
+    got = told(spark, rows + rows[-5:])
+    assert got == {f"x{i}": "template" for i in range(40)} | {"made": "phrase", "none": "template"}
+    # The same words in grounded responses reveal nothing.
+    common = [(f"y{i}", f"s{i}", f"{strange}. It was settled that {' '.join(t.split()[:9])} stay on the list of all.", None, t) for i, t in enumerate(talk() for _ in range(60))]
+    assert told(spark, summaries(rng) + [(f"z{i}", f"q{i}", f"{strange}.", None, talk()) for i in range(20)] + common) == {}
+
+
+def test_the_lexicon_decides_what_does_not_recur(spark):
+    rng = random.Random(5)
+    rows = summaries(rng) + [("x", "q", "I'm sorry, but I cannot summarise this conversation.", None, "w1 w2 w3 and the w4")]
+    assert told(spark, rows) == {"x": "lexicon"}
+
+
+def test_variants_of_a_template_vote_together(spark, monkeypatch):
+    monkeypatch.setattr(defects, "DECLINE", __import__("re").compile("(?!)"))
     rng = random.Random(3)
     strange = "Such matters as were raised here over the past days are best left to those who are concerned by them and not to any other"
-    rows = [(f"r{i}", f"p{i % 150}", " ".join(rng.choices(VOCABULARY, k=90)) + ".") for i in range(400)]
-    rows += [(f"x{i}", f"q{i}", f"{strange} party." + " I cannot summarise this conversation." ) for i in range(24)]
-    rows += [(f"y{i}", f"s{i}", f"{strange} person.") for i in range(16)]  # a near copy without a phrase of the lexicon
-    df = spark.createDataFrame(rows, "row string, prompt string, response string").withColumn("n_words", F.size(F.split("response", " ")))
-    assert {r.row for r in defects.refusals(df).collect()} == {f"x{i}" for i in range(24)} | {f"y{i}" for i in range(16)}
+    talk = lambda: " ".join(rng.choices(VOCABULARY, k=60)) + " the and that was for of on"
+    rows = summaries(rng) + [(f"x{i}", f"q{i}", f"{strange} {end}.", None, talk()) for i, end in enumerate(["party", "person", "people", "pair"] * 2)]
+    assert told(spark, rows) == {f"x{i}": "template" for i in range(8)}
+
+
+def test_other_languages_without_a_list():
+    swedish = "Gruppen enades om att trädgården ska öppnas igen på lördag eftersom alla vill hjälpa till med murarna".split()
+    talk = " ".join(t for _, _, t in TALK)
+    said = defects.plain_words(talk)
+    assert defects.differs(" ".join(swedish), defects.plain_words(" ".join(swedish)), talk, said, 0.1)
+    assert not defects.differs(" ".join(swedish), defects.plain_words(" ".join(swedish)), talk, said, 0.6)
+    assert defects.differs(GOOD, defects.plain_words(GOOD), " ".join(swedish) * 2, defects.plain_words(" ".join(swedish) * 2), 0.1)
+
+
+def test_words_fold_accents():
+    text = "Élan vital, cafe\u0301 ЁЖ ﬁne"
+    assert defects.plain_words(text) == words(text)

@@ -26,6 +26,12 @@ def p2_report(spark: SparkSession, base: str) -> DataFrame:
     return defects.defect_report(p2_found(spark, base))
 
 
+def p2_evidence(spark: SparkSession, base: str) -> DataFrame:
+    """How many refusals templates, phrases of such, and the lexicon told."""
+    looked = defects.looked_pairs(*(table(spark, base, t) for t in ("chosen", "dpo", "chains")))
+    return defects.refusals(looked).groupBy("evidence").agg(F.count("*").alias("pairs"))
+
+
 def p3_found(spark: SparkSession, base: str) -> DataFrame:
     pairs = overlap.cross_split_overlaps(table(spark, base, "sft"))
     return pairs.select(F.least("train_id", "other_id").alias("row_a"), F.greatest("train_id", "other_id").alias("row_b")).distinct()
@@ -114,6 +120,7 @@ def p9_pieces(spark: SparkSession, base: str) -> DataFrame:
 QUERIES = {
     "p2_found": p2_found,
     "p2_report": p2_report,
+    "p2_evidence": p2_evidence,
     "p3_found": p3_found,
     "p3_report": p3_report,
     "p4_found": p4_found,
