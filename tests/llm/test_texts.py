@@ -124,9 +124,27 @@ def test_endings(spark):
 
 def test_limits_are_found(spark):
     rng = random.Random(9)
-    rows = [(x, int(rng.gauss(400, 80))) for x in "st" for _ in range(4000)] + [("s", 300)] * 80
-    df = spark.createDataFrame(rows, "source string, len int")
-    assert [(r.source, r.len) for r in truncation.length_limits(df).collect()] == [("s", 300)]
+    rows = [(x, int(rng.gauss(400, 80)), rng.random() < 0.3) for x in "st" for _ in range(4000)] + [("s", 300, True)] * 80 + [("t", 300, False)] * 80
+    df = spark.createDataFrame(rows, "source string, len int, cut boolean")
+    counts = df.groupBy("source", "len").agg(F.count("*").alias("all"), F.count_if("cut").alias("n"))
+    assert [(r.source, r.len) for r in truncation.length_limits(counts).collect()] == [("s", 300)]
+
+
+def test_hazards_decide_where_incomplete_endings_count(spark):
+    rng = random.Random(10)
+    prose = lambda n: " ".join(rng.choices("we went over the list and the plan of it".split(), k=n))
+    rows = []
+    for i in range(900):
+        # Source a ends without marks everywhere, so nothing of it is cut; b is cut in transfer; c at 120 characters.
+        rows.append(("a", f"{prose(12)}\n{prose(14)}\n{prose(12 + i % 9)}"))
+        rows.append(("b", f"{prose(12)}.\n{prose(12 + i % 9)}" + (" th" if i % 10 == 0 else ".")))
+        rows.append(("c", f"{prose(12)}.\n{prose(12 + i % 9)}.") if i % 10 else ("c", (prose(60) + " " + prose(60))[:119] + "x"))
+    df = spark.createDataFrame([(i, t, s) for i, (s, t) in enumerate(rows)], "row_id long, summary string, source string")
+    got = {r.row_id: r.at_limit for r in truncation.cut_texts(df, ["row_id"], "summary", "source").collect()}
+    assert set(got) == {i for i, (s, t) in enumerate(rows) if s != "a" and not t.endswith(".")}
+    assert all(at == (rows[i][0] == "c") for i, at in got.items())
+    report = {(r.source, r.kind) for r in truncation.length_report(df, ["row_id"], "summary", "source").collect()}
+    assert ("c", "limit") in report and ("b", "transfer") in report and not any(s == "a" for s, _ in report)
 
 
 @pytest.mark.parametrize("clean", [0, 1])

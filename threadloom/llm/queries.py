@@ -52,9 +52,8 @@ def p4_rates(spark: SparkSession, base: str) -> DataFrame:
 
 
 def p4_limits(spark: SparkSession, base: str) -> DataFrame:
-    """Lengths at which a source's texts end significantly often."""
-    rows = truncation.endings(_summaries(spark, base), ["tab", "row_id"], "summary", "source")
-    return truncation.length_limits(rows.dropDuplicates(["tab", "row_id"])).select("source", "len", "n", "at_risk")
+    """Lengths and bands of lengths at which a source's texts end incompletely significantly often."""
+    return truncation.length_report(_summaries(spark, base), ["tab", "row_id"], "summary", "source")
 
 
 def p5_found(spark: SparkSession, base: str) -> DataFrame:
