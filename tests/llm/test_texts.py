@@ -97,8 +97,8 @@ def test_repetition_as_in_plain_python(spark):
     texts += [" ".join(rng.choices([f"w{i}" for i in range(500)], k=80)) for _ in range(60)]
     rows = [("t", i, t, 1) for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows + rows[:9], "tab string, row_id long, summary string, words int")
-    scored, _ = repetition.repetition_scores(df, ["tab", "row_id"], "summary")
-    assert {(r.row_id, r.words, r.repeated) for r in scored.collect()} == {(i, *repeated(t)) for i, t in enumerate(texts)}
+    shares = repetition.repetition_shares(df, ["tab", "row_id"], "summary")
+    assert {(r.row_id, r.words, r.repeated) for r in shares.collect()} == {(i, *repeated(t)) for i, t in enumerate(texts)}
     got = [r.row_id for r in repetition.repeated_documents(df, ["tab", "row_id"], "summary").collect()]
     want = [i for i, t in enumerate(texts) if repeated(t)[0] >= 10 and repeated(t)[1] >= 0.3 * repeated(t)[0]]
     assert sorted(got) == want
@@ -156,3 +156,25 @@ def test_repetition_is_found_where_every_text_repeats(spark, clean):
     assert {r.row_id for r in repetition.repeated_documents(df, ["row_id"], "summary").collect()} == set(range(400))
     one = spark.createDataFrame([(1, "a b c d e a b c d e a b c d e")], "row_id long, summary string")
     assert repetition.repeated_documents(one, ["row_id"], "summary").count() == 1
+    assert repetition.repeated_documents(df.withColumn("_trusted", F.lit(1)), ["row_id"], "summary", None).count() == 400
+
+
+def test_the_ratio_rejects_what_trusted_texts_repeat_less(spark):
+    rng = random.Random(8)
+    new = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    loop = lambda n: " ".join([new(n)] * 4)
+    rows, want = [], set()
+    for i in range(600):
+        kind = i % 6
+        if kind == 0:
+            text, want = loop(10), want | {i}
+        elif kind == 1:
+            run = new(5)
+            text = f"{run} {new(60)} {run}"  # one repeated start in 70 words
+        else:
+            text = new(50)
+        rows.append((i, text, None if kind == 2 else kind > 1 or i % 60 < 2))
+    df = spark.createDataFrame(rows, "row_id long, summary string, trusted boolean")
+    scored = repetition.repetition_scores(df, ["row_id"], "summary", "trusted")
+    assert {r.row_id for r in repetition.candidates(scored, 0.3).collect()} == want and scored.count() == 200
+    assert {r.row_id for r in repetition.repeated_documents(df, ["row_id"], "summary", "trusted").collect()} == want

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,12 +11,19 @@ from threadloom.llm import bpe, chunks, components, defects, leakage, overlap, r
 from threadloom.sources.tables import table
 
 
+#: Ways of stopping that say nothing against a text (fixed values).
+STOPPED_WELL = ("end_turn", "stop", "eos")
+
+
 def _summaries(spark: SparkSession, base: str, tabs: tuple[str, ...] = ("chosen", "eval")) -> DataFrame:
-    source = {"chosen": "teacher", "eval": "model"}
-    parts = [
-        table(spark, base, t).select(F.lit(t).alias("tab"), "row_id", "summary", F.col(source[t]).alias("source"))
-        for t in tabs
-    ]
+    """tab, row_id, summary, source, trusted: it stopped well, didn't fail, and scored without a flag."""
+    source, reason = {"chosen": "teacher", "eval": "model"}, {"chosen": "stop_reason", "eval": "finish_reason"}
+    flags = ("over_limit", "empty", "bullets", "meta", "think_leak", "narration", "echo", "fabrication")
+    flagless = ~reduce(lambda a, b: a | b, [F.coalesce(F.col("score")[x], F.lit(True)) for x in flags])
+    parts = []
+    for t in tabs:
+        good = F.col(reason[t]).isin(*STOPPED_WELL) & (F.coalesce(F.col("`__failed__`"), F.lit("")) == "") & flagless
+        parts.append(table(spark, base, t).select(F.lit(t).alias("tab"), "row_id", "summary", F.col(source[t]).alias("source"), good.alias("trusted")))
     return components.union_all(parts)
 
 
@@ -57,13 +66,20 @@ def p4_limits(spark: SparkSession, base: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, base: str) -> DataFrame:
-    return repetition.repeated_documents(_summaries(spark, base), ["tab", "row_id"], "summary").select("tab", "row_id")
+    return repetition.repeated_documents(_summaries(spark, base), ["tab", "row_id"], "summary", "trusted").select("tab", "row_id")
 
 
 def p5_shares(spark: SparkSession, base: str) -> DataFrame:
     """The share of repeated words of every summary."""
-    scored, _ = repetition.repetition_scores(_summaries(spark, base), ["tab", "row_id"], "summary")
-    return scored.select("tab", "row_id", "words", "repeated").distinct()
+    return repetition.repetition_shares(_summaries(spark, base), ["tab", "row_id"], "summary")
+
+
+def p5_ratio(spark: SparkSession, base: str) -> DataFrame:
+    """How many summaries the ratio lets through, and how many of those repeat themselves enough."""
+    scored = repetition.repetition_scores(_summaries(spark, base), ["tab", "row_id"], "summary", "trusted")
+    kept = repetition.candidates(scored, 0.3).withColumn("repeated", repetition.covered(5))
+    found = F.count_if((F.col("words") >= 10) & (F.col("repeated") >= F.lit(0.3) * F.col("words")))
+    return kept.groupBy("tab").agg(F.count("*").alias("candidates"), found.alias("found"))
 
 
 def p6_found(spark: SparkSession, base: str) -> DataFrame:
@@ -127,6 +143,7 @@ QUERIES = {
     "p4_limits": p4_limits,
     "p5_found": p5_found,
     "p5_shares": p5_shares,
+    "p5_ratio": p5_ratio,
     "p6_found": p6_found,
     "p6_splits": p6_splits,
     "p6_sft_splits": p6_sft_splits,
