@@ -84,7 +84,11 @@ def anchors(fact_tokens: Column, ignore: Column | None = None) -> Column:
 
 
 def has_fact(text: str, text_tokens: str, fact: str, fact_anchors: str, strict: bool = False) -> Column:
-    """Whether a text states a fact; all four are names of prepared columns.
+    return F.expr(has_fact_sql(text, text_tokens, fact, fact_anchors, strict))
+
+
+def has_fact_sql(text: str, text_tokens: str, fact: str, fact_anchors: str, strict: bool = False) -> str:
+    """Whether a text states a fact; all four are names of prepared columns, or of a lambda's fields.
 
     The normalised fact is a substring, or its anchors stand together: within 15 tokens all of them but one (all of one
     or two), numbers always; strictly within 6 tokens all of them, two in order with at most one word between.
@@ -101,7 +105,7 @@ def has_fact(text: str, text_tokens: str, fact: str, fact_anchors: str, strict:
     if strict:
         pair = f"exists(sequence(0, size({k}) - 1), i -> {k}[i] = {a}[0] AND array_contains(slice({k}, i + 2, 2), {a}[1]))"
         near = f"CASE WHEN size({a}) = 2 THEN {pair} ELSE {near} END"
-    return F.expr(
+    return (
         f"{fact} <> '' AND {text} <> '' AND (contains({text}, {fact}) OR "
         f"CASE WHEN size({a}) > 0 AND size({k}) > 0 THEN {near} ELSE false END)"
     )

@@ -25,7 +25,7 @@ def keep_reason(least: float = 0.9, ratio: float = 0.8) -> Column:
         out.when(score["fact_coverage_new"] < F.lit(least), "low_coverage_new")
         .when(score["fact_coverage_carry"] < F.lit(least), "low_coverage_carry")
         .when(score["latest_state"] < F.lit(1.0), "stale_value")
-        .when(F.col("words") > F.lit(ratio) * F.col("output_words"), "over_limit")
+        .when(F.col("words") > F.lit(ratio) * F.col("output_words"), f"over_{ratio}x_limit")
         .otherwise("kept")
     )
 
@@ -38,26 +38,35 @@ def human_peers(chains: DataFrame) -> DataFrame:
     ).select("chain", F.lower("p.name").alias("name")).distinct()
 
 
+def _ranked(ids: DataFrame, by: str, seed: str) -> DataFrame:
+    """ids with ``place`` (from 1) and ``total`` within ``by``, in the order of the sha1 of seed and chain."""
+    hashed = ids.withColumn("h", F.sha1(F.concat(F.lit(seed), "chain"))).withColumn("bucket", F.substring("h", 1, 3))
+    per = hashed.groupBy(by, "bucket").agg(F.count("*").alias("n"))  # at most 4,096 rows a group
+    before = per.select(
+        by,
+        "bucket",
+        F.coalesce(F.sum("n").over(Window.partitionBy(by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+        F.sum("n").over(Window.partitionBy(by)).alias("total"),
+    )
+    within = Window.partitionBy(by, "bucket").orderBy("h", "chain")
+    return hashed.join(before, [by, "bucket"]).withColumn("place", F.col("before") + F.row_number().over(within))
+
+
 def persona_split(chains: DataFrame, share: float = 0.3, seed: str = "7") -> DataFrame:
     """(chain, category, split): held-out chains by category, and every chain that shares a human with one of them.
 
     Within a category chains are ranked by the sha1 of seed and id; ranks come from bucket counts and a window over one
-    bucket, so no category is sorted in one task. One hop only: a moved chain moves no further ones.
+    bucket, so no category is sorted in one task. Where every category has one chain only, the draw is over all chains.
+    One hop only: a moved chain moves no further ones.
     """
     ids = chains.select(F.col("id").alias("chain"), F.coalesce("category", F.lit("")).alias("category"))
-    hashed = ids.withColumn("h", F.sha1(F.concat(F.lit(seed), "chain"))).withColumn("bucket", F.substring("h", 1, 3))
-    per = hashed.groupBy("category", "bucket").agg(F.count("*").alias("n"))  # at most 4,096 rows a category
-    before = per.select(
-        "category",
-        "bucket",
-        F.coalesce(F.sum("n").over(Window.partitionBy("category").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
-        F.sum("n").over(Window.partitionBy("category")).alias("total"),
-    )
-    ranked = hashed.join(before, ["category", "bucket"]).withColumn(
-        "place", F.col("before") + F.row_number().over(Window.partitionBy("category", "bucket").orderBy("h", "chain"))
-    )
-    size = F.when(F.col("total") > 1, F.least(F.col("total") - 1, F.greatest(F.lit(1), F.bround(F.col("total") * F.lit(share)).cast("long")))).otherwise(0)
-    drawn = ranked.select("chain", "category", (F.col("place") <= size).alias("held"))
+    part = lambda n: F.greatest(F.lit(1), F.bround(n * F.lit(share)).cast("long"))
+    size = F.when(F.col("total") > 1, F.least(F.col("total") - 1, part(F.col("total")))).otherwise(0)
+    drawn = _ranked(ids, "category", seed).select("chain", "category", "total", (F.col("place") <= size).alias("held"))
+    single = F.broadcast(drawn.agg((F.max("total") == 1).alias("singles"), F.count("*").alias("chains")))  # one row
+    every = _ranked(ids.withColumn("one", F.lit(1)), "one", seed).select("chain", F.col("place").alias("overall"))
+    fallback = F.col("singles") & (F.col("chains") > 1) & F.lit(share > 0) & (F.col("overall") <= part(F.col("chains")))
+    drawn = drawn.join(every, "chain").crossJoin(single).select("chain", "category", (F.col("held") | fallback).alias("held"))
     names = human_peers(chains)
     known = names.join(drawn.where("held").select("chain"), "chain", "left_semi").select("name").distinct()
     near = names.join(known, "name", "left_semi").select("chain").distinct().withColumn("near", F.lit(True))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from threadloom.operators.alignment import join_nulls
+
 MEDIANS = {
     "median_words": "words",
     "median_limit_ratio": "limit_ratio",
@@ -19,7 +21,7 @@ def _measures(good: Column) -> list[Column]:
     score = F.col("score")
     return [
         F.count_if(good).alias("n"),
-        *[F.median(F.when(good, score[c])).alias(a) for a, c in MEDIANS.items()],
+        *[F.round(F.median(F.when(good, score[c])), 3).alias(a) for a, c in MEDIANS.items()],
         *[F.count_if(good & score[c]).alias(f"{c}_rows") for c in COUNTS],
     ]
 
@@ -31,7 +33,8 @@ def aggregate_runs(rows: DataFrame, by: list[str]) -> DataFrame:
         *_measures(good),
         F.count_if(good & F.col("answered_in_thinking")).alias("answered_in_thinking"),
         F.count_if(good & (F.col("finish_reason") == "length")).alias("finish_length"),
-        F.median(F.when(good, F.coalesce("latency_s", F.lit(0.0)))).alias("median_latency"),
+        F.round(F.try_divide(F.count_if(good & F.col("score.over_limit")), F.count_if(good)), 3).alias("over_limit_rate"),
+        F.round(F.median(F.when(good, F.coalesce("latency_s", F.lit(0.0)))), 1).alias("median_latency"),
         F.count_if(~good).alias("failed_rows"),
     )
 
@@ -53,19 +56,23 @@ def breakdown(rows: DataFrame) -> DataFrame:
     )
 
 
-def upper_median(value: str) -> Column:
-    """The middle value, the upper of two; exact without gathering a group (order statistics by interpolation)."""
-    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {value})")
-
+def compare_runs(rows: DataFrame, run: str, group: str, value: Column) -> DataFrame:
+    """(group, run, hits): a measure of every run in every group that either has; 0 and null are told apart.
 
-def compare_runs(rows: DataFrame, run: str, runs: list, group: str, value: Column) -> DataFrame:
-    """group x run: the value's average of each, full outer over the groups."""
-    return rows.groupBy(group).pivot(run, runs).agg(F.count_if(value).alias("hits"))
+    Groups and runs are those of the table, null ones included; a pair without rows has null hits.
+    """
+    hits = rows.groupBy(group, run).agg(F.count_if(value).alias("hits"))
+    every = hits.select(group).distinct().crossJoin(hits.select(run).distinct())  # groups by runs, as the table to read has
+    return join_nulls(every, hits, [group, run], "left")
 
 
 def align_runs(rows: DataFrame, first: int, second: int) -> DataFrame:
-    """Steps of the first run with the second run's words; null where it has none."""
-    last = rows.where(F.col("run_no").isin(first, second)).groupBy("id", "run_no").agg(F.max_by("words", "row_id").alias("words"))
-    a = last.where(F.col("run_no") == first).select("id", F.col("words").alias("first_words"))
-    b = last.where(F.col("run_no") == second).select("id", F.col("words").alias("second_words"))
-    return a.join(b, "id", "left")
+    """(id, first_words, second_words): steps of the first run with the second run's words; null where it has none.
+
+    A step's words in a run are those of its last row that has any.
+    """
+    said = lambda n: F.max_by("words", F.when((F.col("run_no") == n) & F.col("words").isNotNull(), F.col("row_id")))
+    both = rows.where(F.col("id").isNotNull() & F.col("run_no").isin(first, second)).groupBy("id").agg(
+        F.count_if(F.col("run_no") == first).alias("n"), said(first).alias("first_words"), said(second).alias("second_words")
+    )
+    return both.where("n > 0").drop("n")

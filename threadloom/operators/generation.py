@@ -8,14 +8,25 @@ from pyspark.sql import functions as F
 
 def category_sequence(spark: SparkSession, weights: dict[str, int]) -> DataFrame:
     """(place, category): each category as often as its weight, spread evenly."""
-    rows = spark.createDataFrame(sorted(weights.items()), "category string, w int")
+    return sequence_of(spark.createDataFrame(sorted(weights.items()), "category string, w int"))
+
+
+def sequence_of(rows: DataFrame) -> DataFrame:
+    """The same from a table (category, w) of small weights: the sequence is as long as their sum."""
     each = rows.select("category", F.explode(F.expr("sequence(0, w - 1)")).alias("i"), "w").withColumn("at", (F.col("i") + F.lit(0.5)) / F.col("w"))
     from pyspark.sql.window import Window
 
-    # The sequence is as long as the weights' sum, a configuration.
     return each.select((F.row_number().over(Window.orderBy("at", "category")) - 1).alias("place"), "category")
 
 
+def weights_of(rows: DataFrame, column: str, parts: int = 20) -> DataFrame:
+    """(category, w): the shares of a column's values, in ``parts``, rounded up, so the weights' sum is bounded by ``parts``
+    and the number of values."""
+    counted = rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("category")).agg(F.count("*").alias("n"))
+    total = F.broadcast(counted.agg(F.sum("n").alias("all")))  # one row
+    return counted.crossJoin(total).select("category", F.ceil(F.col("n") * parts / F.col("all")).cast("int").alias("w"))
+
+
 def plan(spark: SparkSession, n: int, weights: dict[str, int], themes: list[str], sizes: tuple[int, ...] = (60, 80, 100, 120)) -> DataFrame:
     """(id, category, theme, n_messages) of n conversations: category by sequence, the rest by hash of the id."""
     sequence = category_sequence(spark, weights)

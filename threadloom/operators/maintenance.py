@@ -37,16 +37,20 @@ def ready_wave(wanted: DataFrame, done: DataFrame) -> DataFrame:
     return missing.where("k = 0").unionByName(missing.where("k > 0").join(before, ["chain", "kind", "k"], "left_semi"))
 
 
-def run_waves(wanted: DataFrame, done: DataFrame, produce, rounds: int = 19) -> DataFrame:
-    """Waves until none is ready: ``produce`` turns a wave into finished steps."""
+def run_waves(wanted: DataFrame, done: DataFrame, produce, rounds: int = 1000) -> DataFrame:
+    """Waves until none is ready or a wave adds nothing: ``produce`` turns a wave into finished steps. Raises after
+    ``rounds`` waves."""
     from threadloom.session import materialize
 
     for _ in range(rounds):
         wave = materialize(ready_wave(wanted, done), "wave")
         if wave.isEmpty():
-            break
-        done = materialize(done.select("chain", "kind", "k").unionByName(produce(wave).select("chain", "kind", "k")), "done")
-    return done
+            return done
+        made = materialize(produce(wave).select("chain", "kind", "k").distinct(), "made")
+        if made.isEmpty():
+            return done
+        done = materialize(done.select("chain", "kind", "k").unionByName(made), "done")
+    raise RuntimeError(f"steps are still ready after {rounds} waves")
 
 
 def unfinished(wanted: DataFrame, rows: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.functions.text import FLAGS, anchors, flag, has_fact, normalise, tokens, word_count
+from threadloom.functions.text import FLAGS, anchors, flag, has_fact, is_blank, normalise, tokens, word_count
 from threadloom.operators.steps import steps
 from threadloom.session import materialize
 
@@ -22,6 +22,17 @@ def ledger(chains: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return facts, changes, distractors
 
 
+def changed_facts(chains: DataFrame) -> DataFrame:
+    """(chain, seq, old, new, old_text, new_text): changes with the texts of both facts, empty where there is none."""
+    facts, changes, _ = ledger(chains)
+    text = facts.groupBy("chain", "fact_id").agg(F.max_by("text", "pos").alias("text"))
+    out = changes
+    for side in ("old", "new"):
+        named = text.select("chain", F.col("fact_id").alias(side), F.col("text").alias(f"{side}_text"))
+        out = out.join(named, ["chain", side], "left")
+    return out.select("chain", "seq", "old", "new", *[F.coalesce(f"{s}_text", F.lit("")).alias(f"{s}_text") for s in ("old", "new")])
+
+
 def facts_due(chains: DataFrame) -> DataFrame:
     """(chain, kind, k, pos, fact_id, text, due): facts a step must state, ``new`` or ``carry``; superseded ones never.
 
@@ -68,7 +79,7 @@ def score_rows(rows: DataFrame, chains: DataFrame, key: str = "row_id") -> DataF
         F.col("id").alias("chain"),
         F.expr("transform(filter(coalesce(peers, array()), p -> p IS NOT NULL AND coalesce(p.name, '') <> ''), p -> lower(p.name))").alias("names"),
     )
-    facts, changes, distractors = ledger(chains)
+    _, _, distractors = ledger(chains)
 
     def prepared(df: DataFrame, text: str) -> DataFrame:
         out = df.join(names, "chain").withColumn("_n", normalise(F.col(text)))
@@ -82,9 +93,7 @@ def score_rows(rows: DataFrame, chains: DataFrame, key: str = "row_id") -> DataF
         .groupBy(key)
         .agg(*[F.avg(F.when(F.col("due") == d, F.col("hit").cast("double"))).alias(f"fact_coverage_{d}") for d in ("new", "carry")])
     )
-    fact_text = facts.groupBy("chain", "fact_id").agg(F.max_by("text", "pos").alias("text"))
-    news = changes.join(fact_text.withColumnRenamed("fact_id", "new"), ["chain", "new"], "left").select("chain", "seq", F.coalesce("text", F.lit("")).alias("text"))
-    news = prepared(news, "text").select("chain", "seq", "f", "a")
+    news = prepared(changed_facts(chains).select("chain", "seq", F.col("new_text").alias("text")), "text").select("chain", "seq", "f", "a")
     at = steps(chains).select("chain", "kind", "k", "hi")
     states = (
         base.select(key, "chain", "kind", "k", "t", "tk", (F.col("words").eqNullSafe(0) | F.col("narration")).alias("unusable"))
@@ -132,3 +141,19 @@ def score_rows(rows: DataFrame, chains: DataFrame, key: str = "row_id") -> DataF
             F.coalesce("fabrication", F.lit(False)).alias("fabrication"),
         )
     )
+
+
+SCORED = ("empty", *FLAGS, "fact_coverage_new", "fact_coverage_carry", "latest_state", "fabrication", "over_limit", "limit_ratio", "n_new", "n_carry")
+
+
+def rescore(rows: DataFrame, chains: DataFrame, key: str = "row_id") -> DataFrame:
+    """Rows with words and score as the scorer gives them now; failed and blank rows, and those of no known step, keep
+    what is stored. Scoring again changes nothing."""
+    once = rows.dropDuplicates([key])
+    fresh = score_rows(once.where((F.coalesce(F.col("`__failed__`"), F.lit("")) == "") & ~is_blank(F.col("summary"))), chains, key)
+    fresh = fresh.select(key, F.struct("*").alias("_s"))
+    joined = once.join(fresh, key, "left")
+    pick = lambda c: F.when(F.col("_s").isNotNull(), F.col(f"_s.{c}")).otherwise(F.col(f"score.{c}")).alias(c)
+    words = F.when(F.col("_s").isNotNull(), F.col("_s.words")).otherwise(F.col("words"))
+    fields = [c for c in ("words", *SCORED) if c in rows.schema["score"].dataType.names]
+    return joined.withColumns({"score": F.struct(*[pick(c) for c in fields]), "words": words}).drop("_s")

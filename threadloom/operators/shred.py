@@ -94,10 +94,10 @@ _TRAILING_COMMA = re.compile(r",(\s*[}\]])")
 _DECODER = json.JSONDecoder(parse_float=str, parse_int=str)
 
 
-def decode_payload(text: str | None, unwrap: int = 4) -> dict | list | None:
+def decode_payload(text: str | None, unwrap: int = 4, decoder: json.JSONDecoder = _DECODER) -> dict | list | None:
     """The JSON object of a delivered text: bare, in a code fence, in a JSON string, or within other text.
 
-    None if there is no complete object. Numbers keep their spelling. A text that breaks off inside its outermost
+    None if there is no complete object. By the default decoder numbers are text as they are spelt. A text that breaks off inside its outermost
     object holds no complete object, whatever complete parts lie in it.
     """
     for _ in range(unwrap):
@@ -105,9 +105,9 @@ def decode_payload(text: str | None, unwrap: int = 4) -> dict | list | None:
             return None
         text = _FENCE.sub("", text.strip().lstrip("\ufeff")).strip()
         try:
-            found = _DECODER.decode(text)
+            found = decoder.decode(text)
         except (ValueError, RecursionError):
-            return _scan(text)
+            return _scan(text, decoder)
         if isinstance(found, (dict, list)):
             return found
         if not isinstance(found, str):
@@ -116,13 +116,13 @@ def decode_payload(text: str | None, unwrap: int = 4) -> dict | list | None:
     return None
 
 
-def _scan(text: str) -> dict | None:
+def _scan(text: str, decoder: json.JSONDecoder) -> dict | None:
     """The first complete object within a text that isn't JSON as a whole."""
     at = text.find("{")
     while at >= 0:
         for candidate in (text[at:], _TRAILING_COMMA.sub(r"\1", text[at:])):
             try:
-                return _DECODER.raw_decode(candidate)[0]
+                return decoder.raw_decode(candidate)[0]
             except RecursionError:
                 return None
             except ValueError as error:

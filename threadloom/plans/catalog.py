@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadloom.plans import nested, pipeline, reference
+from threadloom.plans import nested, pipeline, reference, workflow
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**nested.QUERIES, **reference.QUERIES, **pipeline.QUERIES}
-SQL: dict[str, str] = {**nested.SQL, **reference.SQL, **pipeline.SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**nested.QUERIES, **reference.QUERIES, **pipeline.QUERIES, **workflow.QUERIES}
+SQL: dict[str, str] = {**nested.SQL, **reference.SQL, **pipeline.SQL, **workflow.SQL}

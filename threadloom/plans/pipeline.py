@@ -97,8 +97,10 @@ def valid_names(spark, base):
 @query()
 def generation_plan(spark, base):
     """A plan of 1,000 conversations over the chains' own categories and domains."""
-    weights = {"chit-chat": 1, "dense-facts": 3, "long-tail-merge": 3, "multi-peer": 3, "preference": 2, "supersession": 3}
-    return generation.plan(spark, 1000, weights, ["garden", "river", "school", "market"])
+    good = steps.good_chains(table(spark, base, "chains"))
+    weights = {r.category: r.w for r in generation.weights_of(good, "category").collect()}  # at most a row a category
+    domains = generation.weights_of(good, "domain").orderBy("category").select("category").collect()
+    return generation.plan(spark, 1000, weights or {"any": 1}, [r.category for r in domains] or ["any"])
 
 
 @query()

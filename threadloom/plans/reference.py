@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.functions import text as tx
-from threadloom.operators import curation, evaluation, maintenance, repair, scoring, steps, training, walk
+from threadloom.operators import alignment, curation, evaluation, maintenance, repair, scoring, steps, training, walk
 from threadloom.sources.tables import table
 
 QUERIES: dict = {}
@@ -190,13 +190,58 @@ def fact_match_exact(spark, base):
     return rows.join(due, ["chain", "kind", "k"]).groupBy("row_id").agg(F.count("*").alias("due"), F.count_if(hit).alias("hits"))
 
 
-@query()
+STOP_SQL = "[" + ", ".join(repr(w) for w in tx.STOPWORDS) + "]"
+
+
+def anchors_sql(tokens: str, names: str) -> str:
+    return f"list_filter({tokens}, lambda w: NOT list_contains({STOP_SQL}, w) AND NOT list_contains({names}, w) AND (length(w) >= 2 OR regexp_matches(w, '^\\p{{Nd}}$')))"
+
+
+def stated_sql(t: str, tk: str, f: str, a: str, strict: bool = False) -> str:
+    """Whether a text (normalised, tokens) states a fact (normalised, anchors): its words as they are, or anchors in a window
+    of tokens that begins with one."""
+    span = tx.STRICT_WINDOW if strict else tx.WINDOW
+    window = f"{tk}[i:i + {span - 1}]"
+    need = f"len({a})" if strict else f"len({a}) - CASE WHEN len({a}) > 2 THEN 1 ELSE 0 END"
+    there = f"len(list_filter({a}, lambda x: list_contains({window}, x))) >= {need}"
+    numbers = f"len(list_filter({a}, lambda n: regexp_matches(n, '[0-9]') AND NOT list_contains({window}, n))) = 0"
+    near = f"len(list_filter(range(1, len({tk}) + 1), lambda i: list_contains({a}, {tk}[i]) AND {there} AND {numbers})) > 0"
+    if strict:
+        pair = f"len(list_filter(range(1, len({tk}) + 1), lambda i: {tk}[i] = {a}[1] AND list_contains({tk}[i + 1:i + 2], {a}[2]))) > 0"
+        near = f"CASE WHEN len({a}) = 2 THEN {pair} ELSE {near} END"
+    return f"({f} <> '' AND {t} <> '' AND (contains({t}, {f}) OR (len({a}) > 0 AND {near})))"
+
+
+_TK = "regexp_extract_all({0}, '[\\p{{L}}\\p{{N}}]+(?:[.,:/][0-9]+)*')"
+
+
+def scores_sql(table: str) -> str:
+    """Scores of a table's rows from the ledger, fact by fact."""
+    flags = ", ".join(f"regexp_matches(summary, '{p}') AS {n}" for n, p in FLAG_SQL.items())
+    prepare = lambda name, source, keys: f"""{name} AS (SELECT {keys}, trim(nt) AS f, {anchors_sql(_TK.format('nt'), 'ns')} AS a FROM (SELECT {keys}, {_norm_sql('text')} AS nt, ns FROM {source} JOIN names USING (chain)))"""
+    return f"""WITH {DUE}, names AS (SELECT id AS chain, list_transform(list_filter(coalesce(peers, []), lambda p: p IS NOT NULL AND coalesce(p.name, '') <> ''), lambda p: lower(p.name)) AS ns FROM good),
+ c AS (SELECT DISTINCT ON (row_id) row_id, chain, kind, k, coalesce(summary, '') AS summary, output_words FROM {table}),
+ b AS (SELECT row_id, chain, kind, k, output_words, {WORDS_SQL.format('summary')} AS words, {flags}, {_norm_sql('summary')} AS t FROM c),
+ b2 AS (SELECT *, {_TK.format('t')} AS tk, words > 0 AND NOT narration AS usable FROM b),
+ news AS (SELECT g.chain, g.seq, coalesce(x.text, '') AS text FROM changes g LEFT JOIN (SELECT chain, fact_id, arg_max(text, pos) AS text FROM facts GROUP BY ALL) x ON x.chain = g.chain AND x.fact_id = g.new),
+ wrong AS (SELECT id AS chain, d.text AS text FROM good, LATERAL (SELECT unnest(distractors) AS d) WHERE d.text IS NOT NULL),
+ {prepare('pd', 'due', 'chain, kind, k, due')}, {prepare('pn', 'news', 'chain, seq')}, {prepare('pw', 'wrong', 'chain')},
+ cov AS (SELECT row_id, avg(CASE WHEN due = 'new' THEN hit::INT END) AS cn, avg(CASE WHEN due = 'carry' THEN hit::INT END) AS cc FROM (SELECT b2.row_id, pd.due, {stated_sql('b2.t', 'b2.tk', 'pd.f', 'pd.a')} AS hit FROM b2 JOIN pd USING (chain, kind, k) WHERE usable) GROUP BY row_id),
+ st AS (SELECT row_id, avg(hit::INT) AS ls FROM (SELECT b2.row_id, usable AND {stated_sql('b2.t', 'b2.tk', 'pn.f', 'pn.a')} AS hit FROM b2 JOIN steps s USING (chain, kind, k) JOIN pn ON pn.chain = b2.chain AND pn.seq <= s.hi) GROUP BY row_id),
+ fb AS (SELECT row_id, bool_or(hit) AS fab FROM (SELECT b2.row_id, {stated_sql('b2.t', 'b2.tk', 'pw.f', 'pw.a', True)} AS hit FROM b2 JOIN pw USING (chain) WHERE usable) GROUP BY row_id),
+ n AS (SELECT s.chain, s.kind, s.k, count(d.pos) FILTER (d.due = 'new') AS n_new, count(d.pos) FILTER (d.due = 'carry') AS n_carry FROM steps s LEFT JOIN due d ON d.chain = s.chain AND d.kind = s.kind AND d.k = s.k GROUP BY ALL)
+ SELECT b2.row_id, words, CASE WHEN coalesce(output_words, 0) <> 0 THEN round_even(words / output_words::DOUBLE, 3) END AS limit_ratio, coalesce(output_words <> 0 AND words > output_words, false) AS over_limit, words = 0 AS empty,
+ bullets, meta, think_leak, narration, echo, n_new, n_carry, CASE WHEN n_new > 0 THEN round_even(CASE WHEN usable THEN cn ELSE 0 END, 3) END AS fact_coverage_new, CASE WHEN n_carry > 0 THEN round_even(CASE WHEN usable THEN cc ELSE 0 END, 3) END AS fact_coverage_carry,
+ round_even(ls, 3) AS latest_state, coalesce(fab, false) AS fabrication FROM b2 JOIN n USING (chain, kind, k) LEFT JOIN cov USING (row_id) LEFT JOIN st USING (row_id) LEFT JOIN fb USING (row_id)"""
+
+
+@query(scores_sql("chosen"))
 def score_steps(spark, base):
-    """Every chosen summary scored against its ledger; tested against a plain-Python scorer."""
+    """Every chosen summary scored against its ledger."""
     return scoring.score_rows(table(spark, base, "chosen"), _good(spark, base))
 
 
-@query()
+@query(scores_sql("eval"))
 def score_eval(spark, base):
     return scoring.score_rows(table(spark, base, "eval"), _good(spark, base))
 
@@ -205,7 +250,24 @@ BLANK_SQL = r"NOT regexp_matches(coalesce(summary, ''), '[^\s\x1c-\x1f\x{85}\p{Z
 KEEP_SQL = f"""CASE WHEN coalesce("__failed__", '') <> '' OR {BLANK_SQL} THEN 'failed_or_empty' WHEN score.empty THEN 'empty'
  WHEN score.bullets THEN 'bullets' WHEN score.meta THEN 'meta' WHEN score.think_leak THEN 'think_leak' WHEN score.narration THEN 'narration' WHEN score.echo THEN 'echo'
  WHEN score.fabrication THEN 'fabrication' WHEN score.fact_coverage_new < 0.9::DOUBLE THEN 'low_coverage_new' WHEN score.fact_coverage_carry < 0.9::DOUBLE THEN 'low_coverage_carry'
- WHEN score.latest_state < 1.0::DOUBLE THEN 'stale_value' WHEN words > 0.8::DOUBLE * output_words THEN 'over_limit' ELSE 'kept' END"""
+ WHEN score.latest_state < 1.0::DOUBLE THEN 'stale_value' WHEN words > 0.8::DOUBLE * output_words THEN 'over_0.8x_limit' ELSE 'kept' END"""
+
+
+_RESCORED = ", ".join(
+    f"{c} := CASE WHEN f.row_id IS NULL THEN c.score.{c} ELSE f.{c} END"
+    for c in ("empty", "bullets", "meta", "think_leak", "narration", "echo", "fabrication", "fact_coverage_new", "fact_coverage_carry", "latest_state")
+)
+
+
+@query(
+    f"""WITH f AS ({scores_sql('(SELECT * FROM chosen WHERE coalesce("__failed__", ' + "''" + f") = '' AND NOT ({BLANK_SQL}))")}), c AS (SELECT DISTINCT ON (row_id) * FROM chosen),
+ r AS (SELECT c.row_id, c.summary, c."__failed__", c.output_words, CASE WHEN f.row_id IS NULL THEN c.words ELSE f.words END AS words, struct_pack({_RESCORED}) AS score FROM c LEFT JOIN f ON f.row_id = c.row_id)
+ SELECT row_id, {KEEP_SQL} AS reason FROM r"""
+)
+def rescored_reasons(spark, base):
+    """Keep reasons by fresh scores."""
+    fresh = scoring.rescore(table(spark, base, "chosen"), _good(spark, base))
+    return fresh.select("row_id", curation.keep_reason().alias("reason"))
 
 
 @query(f"SELECT DISTINCT row_id, {KEEP_SQL} AS reason FROM chosen")
@@ -274,12 +336,13 @@ def pair_reason_counts(spark, base):
 _OK = "coalesce(\"__failed__\", '') = ''"
 _MEASURES = ", ".join(
     [f"count(*) FILTER ({_OK}) AS n"]
-    + [f"median(score.{c}) FILTER ({_OK}) AS {a}" for a, c in evaluation.MEDIANS.items()]
+    + [f"round(median(score.{c}) FILTER ({_OK}), 3) AS {a}" for a, c in evaluation.MEDIANS.items()]
     + [f"count(*) FILTER ({_OK} AND score.{c}) AS {c}_rows" for c in evaluation.COUNTS]
     + [
         f"count(*) FILTER ({_OK} AND answered_in_thinking) AS answered_in_thinking",
         f"count(*) FILTER ({_OK} AND finish_reason = 'length') AS finish_length",
-        f"median(coalesce(latency_s, 0.0::DOUBLE)) FILTER ({_OK}) AS median_latency",
+        f"round(count(*) FILTER ({_OK} AND score.over_limit) / nullif(count(*) FILTER ({_OK}), 0)::DOUBLE, 3) AS over_limit_rate",
+        f"round(median(coalesce(latency_s, 0.0::DOUBLE)) FILTER ({_OK}), 1) AS median_latency",
         f"count(*) FILTER (NOT {_OK}) AS failed_rows",
     ]
 )
@@ -299,28 +362,29 @@ def score_breakdown(spark, base):
     return evaluation.breakdown(table(spark, base, "eval"))
 
 
-MODELS = ["kelp-3b", "marl-9b", "ostra-8b", "ostra-8b-nothink", "quill-4b", "quill-4b-tuned"]
-
-
-@query("SELECT category, " + ", ".join(f"CASE WHEN count(*) FILTER (model = '{m}') > 0 THEN count(*) FILTER (model = '{m}' AND score.over_limit) END AS \"{m}\"" for m in MODELS) + " FROM eval GROUP BY category")
+@query(
+    """WITH h AS (SELECT category, model, count(*) FILTER (score.over_limit) AS hits FROM eval GROUP BY ALL)
+ SELECT c.category, m.model, h.hits FROM (SELECT DISTINCT category FROM eval) c CROSS JOIN (SELECT DISTINCT model FROM eval) m LEFT JOIN h ON h.category IS NOT DISTINCT FROM c.category AND h.model IS NOT DISTINCT FROM m.model"""
+)
 def run_compare(spark, base):
-    return evaluation.compare_runs(table(spark, base, "eval"), "model", MODELS, "category", F.col("score.over_limit"))
+    return evaluation.compare_runs(table(spark, base, "eval"), "model", "category", F.col("score.over_limit"))
 
 
 @query(
     """WITH l AS (SELECT id, run_no, arg_max(words, row_id) AS words FROM eval WHERE run_no IN (1, 2) AND words IS NOT NULL GROUP BY ALL), u AS (SELECT DISTINCT id, run_no FROM eval WHERE run_no IN (1, 2)),
  w AS (SELECT u.id, u.run_no, l.words FROM u LEFT JOIN l ON u.id = l.id AND u.run_no = l.run_no)
- SELECT a.id, a.words AS first_words, b.words AS second_words FROM w a LEFT JOIN w b ON a.id = b.id AND b.run_no = 2 WHERE a.run_no = 1"""
+ SELECT a.id, a.words AS first_words, b.words AS second_words FROM w a LEFT JOIN w b ON a.id = b.id AND b.run_no = 2 WHERE a.run_no = 1 AND a.id IS NOT NULL"""
 )
 def run_align(spark, base):
-    return evaluation.align_runs(table(spark, base, "eval").where("words IS NOT NULL"), 1, 2).unionByName(
-        evaluation.align_runs(table(spark, base, "eval"), 1, 2), allowMissingColumns=True
-    ).groupBy("id").agg(F.max("first_words").alias("first_words"), F.max("second_words").alias("second_words"))
+    return evaluation.align_runs(table(spark, base, "eval"), 1, 2)
 
 
-@query("SELECT kind, quantile_disc(words, 0.5) AS middle, max(words) AS most FROM eval WHERE words IS NOT NULL GROUP BY kind")
-def upper_median_lengths(spark, base):
-    return table(spark, base, "eval").where("words IS NOT NULL").groupBy("kind").agg(evaluation.upper_median("words").alias("middle"), F.max("words").alias("most"))
+@query(
+    """WITH g AS (SELECT kind, list_sort(list(words)) AS w FROM eval WHERE words IS NOT NULL GROUP BY kind)
+ SELECT kind, len(w) AS n, w[1] AS least, w[len(w)] AS most, w[len(w) // 2 + 1] AS middle, w[len(w) * 95 // 100 + 1] AS p95 FROM g"""
+)
+def order_statistics(spark, base):
+    return alignment.order_statistics(table(spark, base, "eval"), ["kind"], "words", {"middle": (1, 2), "p95": (95, 100)})
 
 
 @query(

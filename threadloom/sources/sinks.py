@@ -14,6 +14,39 @@ def write_dataset(rows: DataFrame, path: str, split: str = "split") -> None:
     rows.write.mode("overwrite").partitionBy(split).parquet(path)
 
 
+def write_training_sets(sft: DataFrame, dpo: DataFrame, splits: DataFrame, path: str) -> None:
+    """The four data sets, {sft, dpo} by {train, eval}, as JSON lines in ``path/<set>/split=<split>``.
+
+    ``splits``: (chain, split). Rows of a chain that has no split are left out; only ``train`` and ``eval`` are written.
+    """
+    known = splits.where("split IN ('train', 'eval')").select("chain", F.col("split").alias("_split"))
+    for name, rows in (("sft", sft), ("dpo", dpo)):
+        placed = rows.drop("split").join(known, "chain").withColumnRenamed("_split", "split")
+        placed.write.mode("overwrite").partitionBy("split").option("ignoreNullFields", "false").json(f"{path}/{name}")
+
+
+def read_harness(spark: SparkSession, path: str, row_schema: str) -> DataFrame:
+    """The rows of harness results, files of one object {summary, rows} each, with the file they came from."""
+    files = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_name").alias("file"), F.from_json("value", f"struct<rows: array<struct<{row_schema}>>>").alias("v")
+    )
+    return files.select("file", F.explode("v.rows").alias("r")).where("r IS NOT NULL").select("file", "r.*")
+
+
+def chat_response(body: str) -> list:
+    """content, reasoning, finish_reason, error of a chat response in JSON; no choice is an error."""
+    v = F.try_parse_json(body)
+    get = lambda p: F.try_variant_get(v, p, "string")
+    first = "$.choices[0]"
+    none = F.try_variant_get(v, first, "variant").isNull()
+    return [
+        F.coalesce(get(f"{first}.message.content"), F.lit("")).alias("content"),
+        F.coalesce(F.when(get(f"{first}.message.reasoning") != "", get(f"{first}.message.reasoning")), get(f"{first}.message.reasoning_content"), F.lit("")).alias("reasoning"),
+        get(f"{first}.finish_reason").alias("finish_reason"),
+        F.when(none, F.substring(F.concat(F.lit("no choices: "), F.coalesce(get("$.error"), F.col(body), F.lit(""))), 1, 320)).alias("error"),
+    ]
+
+
 def write_summary(aggregate: DataFrame, path: str) -> None:
     """An aggregate as JSON lines, nulls kept."""
     aggregate.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
