@@ -466,12 +466,6 @@ def dedup_first(spark, base):
     return _good(spark, base).select(F.col("id").alias("chain"), F.coalesce(F.size("messages"), F.lit(0)).alias("messages"))
 
 
-@query()
-def chain_validate(spark, base):
-    """The first reason a chain would be refused; tested on small chains."""
-    return repair.validate_chains(_good(spark, base))
-
-
 @query()
 def json_repair(spark, base):
     """The object in every delivered payload; tested on small payloads."""
