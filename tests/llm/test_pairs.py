@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from threadloom.llm import components, defects, leakage, overlap
-from threadloom.llm.words import fold, lcs, words
+from threadloom.llm.words import WORD, counts, fold, lcs, words
 
 
 def plain_lcs(a, b):
@@ -61,7 +61,7 @@ def test_overlaps(spark):
     df = spark.createDataFrame(rows + rows[:6], f"row_id long, messages {MESSAGES}, split string, source string").withColumn("text_key", F.lit("clash"))
     got = {(r.train_id, r.other_id) for r in overlap.cross_split_overlaps(df).collect()}
     assert got == want
-    report = {(r.split, r.source): (r.records, r.shared) for r in overlap.overlap_report(df, overlap.cross_split_overlaps(df)).collect()}
+    report = {(r.split, r.source): (r.records, r.shared) for r in overlap.overlap_report(*overlap.overlap_classes(df)).collect()}
     assert report[("test", "s")][1] == 20
     assert overlap.cross_split_overlaps(df.where("false")).count() == 0
 
@@ -162,6 +162,22 @@ def test_leaks_as_in_plain_python(spark):
     assert {(r.doc_id, r.item_id) for r in low} == want
 
 
+def test_paraphrases_are_found(spark):
+    """Items of any length with words replaced at random places; the least share of words left decides."""
+    rng = random.Random(9)
+    names = [f"n{i}" for i in range(3000)]
+    items, docs, want = [], [], set()
+    for i in range(60):
+        ws = rng.choices(names, k=rng.choice([20, 60, 150]))
+        items.append((i, " ".join(ws), "test"))
+        out = scattered(ws, (0.1, 0.18, 0.4)[i % 3], rng, lambda: f"z{rng.randrange(10**6)}")
+        docs.append((i, " ".join(rng.choices(names, k=80) + out + rng.choices(names, k=80))))
+        if i % 3 < 2:
+            want.add((i, i))
+    got = leakage.leaked_passages(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, item_text string, item_split string"))
+    assert {(r.doc_id, r.item_id) for r in got.where("lcs >= 0.8 * item_words").collect()} == want
+
+
 PEERS = "id string, category string, peers array<struct<name:string,role:string,bio:string>>"
 
 
@@ -312,13 +328,17 @@ def test_variants_of_a_template_vote_together(spark, monkeypatch):
 def test_other_languages_without_a_list():
     swedish = "Gruppen enades om att trädgården ska öppnas igen på lördag eftersom alla vill hjälpa till med murarna".split()
     talk = " ".join(t for _, _, t in TALK)
-    swedish, said = " ".join(swedish), defects.counts(talk)
-    assert defects.differs(swedish, defects.counts(swedish), talk, said, 0.1)
-    assert not defects.differs(swedish, defects.counts(swedish), talk, said, 0.6)
-    assert defects.differs(GOOD, defects.counts(GOOD), swedish, defects.counts(swedish), 0.1)
+    swedish, said = " ".join(swedish), counts(talk)
+    assert defects.differs(swedish, counts(swedish), talk, said, 0.1)
+    assert not defects.differs(swedish, counts(swedish), talk, said, 0.6)
+    assert defects.differs(GOOD, counts(GOOD), swedish, counts(swedish), 0.1)
 
 
 def test_words_fold_accents():
     text = "Élan vital_x, cafe\u0301’s ЁЖ—ﬁne 3,5\u00a0km\n日本語。İ"
-    assert defects.plain_words(text) == words(text)
-    assert defects.counts(text + " " + text) == Counter(words(text) * 2)
+    assert words(text) == WORD.findall(fold(text)) == "elan vital x cafe s еж".split() + words("ﬁne 3 5 km 日本語 i")
+    assert counts(text + " " + text) == Counter(words(text) * 2)
+    rng = random.Random(20)
+    for _ in range(300):
+        made = "".join(rng.choice("aZ9_ é\u0301’≠ßﬃİЖ語。\u00a0\n-") for _ in range(rng.randint(0, 30)))
+        assert words(made) == WORD.findall(fold(made))

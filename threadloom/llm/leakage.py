@@ -6,11 +6,15 @@ Every document is cut into overlapping passages that together hold each run of `
 projected and compared with the items by cosine; candidates are then checked word by word.
 
 The search loses nothing. If a passage p holds a run v of item x, all weights being positive, then <p, x> is at least
-|v|^2, hence at least m(x), the least such value over the runs of x. What the basis leaves out of x is at most
+|v|^2, hence at least the least such value over the runs of x, of which m(x) is ``SLACK``. What the basis leaves out of x is at most
 |p| * residual(x). So p is a candidate of x exactly if cos(p, x) in latent space reaches
 (m(x) - |p| * residual(x)) / (|p| |x|), a threshold for each pair and not a guess. Passages whose whole energy is below
 the least m(x) are never projected.
 
+A paraphrase, most of an item's words in order but no such run, is looked for among the same candidates: what of it lies
+in a passage weighs enough unless nearly all of its heavy words were replaced. What the words
+in common rule out is left; the longest common subsequence decides the rest.
+
 Items are the query set: they are taken in blocks of at most ``BLOCK_WORDS`` words, so what is broadcast (vocabulary,
 basis, runs) has a fixed bound, and documents are only ever streamed through, whole, without a shuffle of text.
 
@@ -20,6 +24,7 @@ give one result; an empty corpus or item table gives an empty result.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +37,9 @@ from threadloom.llm.words import lcs, words
 
 BLOCK_WORDS = 50_000
 RANK = 320
+#: Candidates weigh at least this share of an item's lightest run. Below 1 for paraphrases only, whose words may be divided
+#: between two passages; runs need no more than 1.
+SLACK = 0.75
 SCHEMA = "doc_id long, item_id long, run int, lcs int, item_words int, kind string"
 
 
@@ -138,9 +146,10 @@ def _search_block(
         "latent": latent.astype("float32"),
         "size": size,
         "residual": residual,
-        "least": np.array([m for m, _ in least]) * (1 - 1e-4),
-        "energy": min(p for _, p in least) * (1 - 1e-6),
+        "least": np.array([m for m, _ in least]) * SLACK,
+        "energy": min(p for _, p in least) * SLACK,
         "items": items,
+        "counts": [Counter(ws) for _, ws in items],
         "runs": [{tuple(ws[i : i + run]) for i in range(len(ws) - run + 1)} for _, ws in items],
     }
     shared = spark.sparkContext.broadcast(model)
@@ -163,7 +172,6 @@ def _search_block(
                 stops = np.minimum(starts + 2 * run - 1, len(ws))
                 starts = starts[energy[stops] - energy[starts] >= m["energy"]]
                 found: dict[int, set[int]] = {}
-                near: dict[int, float] = {}
                 for s in range(0, len(starts), 512):
                     some = starts[s : s + 512]
                     spans = some[:, None] + np.arange(2 * run - 1)[None, :]
@@ -177,7 +185,6 @@ def _search_block(
                     )
                     for a, i in zip(*np.nonzero(cosine >= needed)):
                         found.setdefault(int(i), set()).add(int(some[a]))
-                        near[int(i)] = max(near.get(int(i), 0.0), float(cosine[a, i]))
                 for i, places in found.items():
                     item, text_words = m["items"][i]
                     hit = any(
@@ -185,10 +192,11 @@ def _search_block(
                         for s in places
                         for a in range(s, min(s + run, len(ws) - run + 1))
                     )
-                    if not hit and near[i] < 0.5:
-                        continue
-                    # The answer check: the part of the item's words that stands, in order, around the passages.
+                    # The answer check: the part of the item's words that stands, in order, around the passages. It can't be
+                    # more than they have in common, which costs less to count.
                     lo, hi = max(0, min(places) - len(text_words)), max(places) + 2 * run + len(text_words)
+                    if not hit and (Counter(ws[lo:hi]) & m["counts"][i]).total() < paraphrase * len(text_words):
+                        continue
                     common = lcs(ws[lo:hi], text_words)
                     if hit or common >= paraphrase * len(text_words):
                         longest = _longest_run(ws[lo:hi], text_words) if hit else 0
@@ -203,13 +211,10 @@ def _search_block(
 
 
 def _lengths(terms: np.ndarray, w: np.ndarray, none: int) -> np.ndarray:
-    """Euclidean lengths of passages with equal words merged."""
-    order = np.sort(terms, axis=1)
-    out = np.zeros(len(terms))
-    for r, row in enumerate(order):
-        at, c = np.unique(row[row < none], return_counts=True)
-        out[r] = np.sqrt(((c * w[at]) ** 2).sum())
-    return np.maximum(out, 1e-9)
+    """Euclidean lengths of passages with equal words merged; ``none`` weighs nothing."""
+    weights = w[terms]
+    same = terms[:, :, None] == terms[:, None, :]
+    return np.maximum(np.sqrt(np.einsum("pi,pij,pj->p", weights, same, weights, optimize=True)), 1e-9)
 
 
 def _longest_run(a: list[str], b: list[str]) -> int:

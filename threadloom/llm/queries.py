@@ -47,8 +47,8 @@ def p3_found(spark: SparkSession, base: str) -> DataFrame:
 
 
 def p3_report(spark: SparkSession, base: str) -> DataFrame:
-    sft = table(spark, base, "sft")
-    return overlap.overlap_report(sft, overlap.cross_split_overlaps(sft))
+    """Records outside train and how many of them also stand in train, by split and source."""
+    return overlap.overlap_report(*overlap.overlap_classes(table(spark, base, "sft")))
 
 
 def p4_found(spark: SparkSession, base: str) -> DataFrame:
