@@ -158,6 +158,32 @@ QUERIES = {
 
 SQL: dict[str, str] = {}
 
+
+def _quoted(text: str) -> str:
+    """A string of SQL; control characters by number."""
+    return " || ".join([f"chr({ord(c)})" if ord(c) < 32 else "'" + c.replace("'", "''") + "'" for c in text])
+
+
+def _cut_sql() -> str:
+    """Common table expressions up to ``cut`` (tab, row_id): texts with an incomplete ending, whatever their length."""
+    space, closing = _quoted(truncation._SPACE), _quoted(truncation._CLOSING)
+    marks = ", ".join(f"'{m}'" for m in truncation._MARKS)
+    drop = '"“”„«»()[]{},;:*'
+    plain = lambda x: f"lower(translate({x}, '123456789!?。！？' || chr(10) || '{drop}', '000000000.....' || chr(1)))"
+    tail = lambda x, n: f"array_to_string(string_split(trim({x}, ' .'), ' ')[-{n}:], ' ')"
+    bullet = r"^\s*([-*•–—‣▪◦·]|\d+[.)])\s+"
+    return f"""u AS (SELECT DISTINCT 'chosen' AS tab, row_id, summary, teacher AS source FROM chosen UNION ALL SELECT DISTINCT 'eval', row_id, summary, model FROM eval),
+ t AS (SELECT tab, row_id, trim(summary, {space}) AS t, regexp_matches(summary, '[\\p{{L}}\\p{{N}}]') AND NOT regexp_matches(summary, '{truncation._PLACEHOLDER}') AS filled FROM u WHERE summary IS NOT NULL),
+ e AS (SELECT *, rtrim(t, {space} || {closing}) AS core, trim(string_split(t, chr(10))[-1], {space}) AS line FROM t WHERE filled),
+ k AS (SELECT *, CASE WHEN ends_with(core, '…') OR ends_with(core, '..') OR ends_with(core, '. .') OR ends_with(t, chr(65533)) THEN 'cut' WHEN right(core, 1) IN ({marks}) THEN 'whole' WHEN regexp_matches(line, '{bullet}\\S') THEN 'item' ELSE 'cut' END AS ending FROM e),
+ s AS (SELECT unnest(regexp_split_to_array({plain('t')}, '\x01+|[.] +')[:-2]) AS s FROM t), w AS (SELECT DISTINCT {tail('s', 2)} AS w FROM s WHERE length(s) > 2),
+ cut AS (SELECT tab, row_id FROM k WHERE ending = 'cut' OR (ending = 'item' AND {tail(plain(f"regexp_replace(line, '{bullet}', '')"), 2)} NOT IN (SELECT w FROM w)))"""
+
+
+SQL["p4_found"] = f"WITH {_cut_sql()} SELECT tab, row_id FROM cut"
+
+SQL["p4_rates"] = f"WITH {_cut_sql()}, r AS (SELECT DISTINCT tab, source, row_id FROM u) SELECT r.tab, r.source, count(*) AS rows, count(c.row_id) AS cut FROM r LEFT JOIN cut c ON c.tab = r.tab AND c.row_id = r.row_id GROUP BY ALL"
+
 SQL["p5_found"] = """WITH t AS (SELECT DISTINCT 'chosen' AS tab, row_id, summary FROM chosen UNION ALL SELECT DISTINCT 'eval', row_id, summary FROM eval),
  w AS (SELECT tab, row_id, regexp_extract_all(lower(summary), '[\\p{L}\\p{N}_]+') AS ws FROM t WHERE summary IS NOT NULL),
  g AS (SELECT tab, row_id, len(ws) AS n, p, list_slice(ws, p, p + 4) AS gram FROM w, LATERAL (SELECT unnest(range(1, len(ws) - 3)) AS p)),
