@@ -483,7 +483,8 @@ def sft_targets(spark, base):
 
 def _encoded(spark, base):
     pairs = table(spark, base, "dpo").select("row_id", F.expr("try_element_at(prompt, -1).content").alias("asked"), "chosen").distinct()
-    return pairs.select("row_id", *training.encode(training.word_ids(F.col("asked")), training.word_ids(F.col("chosen")), 4096))
+    ids = pairs.select("row_id", training.word_ids(F.col("asked")).alias("p"), training.word_ids(F.col("chosen")).alias("t"))
+    return ids.select("row_id", *training.encode(F.col("p"), F.col("t"), 4096))
 
 
 _IDS = "list_transform(list_filter(regexp_split_to_array(coalesce({0}, ''), '\\s+'), lambda w: w <> ''), lambda w: CAST(('0x' || substring(md5(w), 1, 7))::BIGINT % 50000 AS INTEGER))"

@@ -7,26 +7,41 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from threadloom.operators.maintenance import upsert
+from threadloom.session import drop_materialized, materialize
+from threadloom.sources.tables import path_exists
 
 
 def stream_table(spark: SparkSession, path: str, schema, files_per_trigger: int = 4) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def merge_stream(rows: DataFrame, target: str, checkpoint: str, key: str = "id", order: str = "row_id") -> None:
-    """Merge a stream of rows into versions of a Parquet table, each batch a new version; replays change nothing.
+def merge_stream(rows: DataFrame, target: str, checkpoint: str, key: str = "id", order: str = "row_id", parts: int = 64) -> None:
+    """Merge a stream of rows into a Parquet table that is divided into ``parts`` by the hash of the key (column ``_part``).
 
-    Version n is the merge of version n - 1 with batch n, so a batch that is run again rewrites the same version.
+    A batch reads and rewrites only the parts its keys fall into. Merging a batch again changes nothing, so a batch that
+    broke off is simply run again.
     """
 
     def merge(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
-        empty = spark.createDataFrame([], batch.schema)
-        old = spark.read.schema(batch.schema).parquet(f"{target}/v{n - 1}") if n else empty
-        upsert(old, batch, key, order).write.mode("overwrite").parquet(f"{target}/v{n}")
+        part = F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+        new = materialize(batch, "batch")
+        touched = [r._part for r in new.select(part.alias("_part")).distinct().collect()]  # at most ``parts``
+        if not touched:
+            return
+        old = spark.createDataFrame([], batch.schema)
+        if path_exists(spark, target):
+            stored = spark.read.schema(T.StructType([*batch.schema.fields, T.StructField("_part", T.IntegerType())])).parquet(target)
+            old = stored.where(F.col("_part").isin(touched)).drop("_part")
+        merged = materialize(upsert(old, new, key, order).withColumn("_part", part), "merged")
+        writer = merged.repartition("_part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("_part").parquet(target)
+        drop_materialized(new)
+        drop_materialized(merged)
 
     rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
