@@ -32,7 +32,8 @@ def plan(spark: SparkSession, n: int, weights: dict[str, int], themes: list[str]
     sequence = category_sequence(spark, weights)
     total = sum(weights.values())
     ids = spark.range(n).select("id", (F.col("id") % total).cast("int").alias("place"))
-    pick = lambda salt, m: F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(m))
+    digits = lambda salt: F.substring(F.md5(F.concat(F.lit(salt), F.col("id").cast("string"))), 1, 7)
+    pick = lambda salt, m: F.conv(digits(salt), 16, 10).cast("int") % m
     listed, lengths = F.array(*[F.lit(t) for t in themes]), F.array(*[F.lit(s) for s in sizes])
     return ids.join(F.broadcast(sequence), "place").select(  # as long as the weights' sum
         F.format_string("c%08d", "id").alias("id"),
@@ -42,14 +43,31 @@ def plan(spark: SparkSession, n: int, weights: dict[str, int], themes: list[str]
     )
 
 
-def mock_chains(planned: DataFrame, per_block: int = 2) -> DataFrame:
-    """(id, category, messages, facts) with facts verbatim in their messages, so that every chain can be scored."""
+def mock_chains(planned: DataFrame, per_block: int = 2, peers: int = 2) -> DataFrame:
+    """(id, category, peers, messages, facts, changes, distractors) with facts verbatim in their messages, so that every
+    chain can be scored: each block of 20 states ``per_block`` numbers, the first of every later block takes the place of
+    the first of the block before, and one number is stated nowhere. Two to four peers speak in turn."""
+    names = f"array('Ann', 'Ben', 'Cleo', 'Dov')[(i - 1) % {peers}]"
+    n = "n_messages"
+    told = f"(i - 1) % 20 < {per_block}"
     message = (
-        "transform(sequence(1, n_messages), i -> named_struct('seq', i, 'peer', CASE WHEN i % 2 = 1 THEN 'Ann' ELSE 'Ben' END, 'text', "
-        f"CASE WHEN (i - 1) % 20 < {per_block} THEN concat('note ', i, ' of ', theme, ' is ', i * 7, ' boxes') ELSE concat('message ', i) END))"
+        f"transform(sequence(1, {n}), i -> named_struct('seq', i, 'peer', {names}, 'text', "
+        f"CASE WHEN {told} THEN concat('note ', i, ' of ', theme, ' is ', i * 7, ' boxes') ELSE concat('message ', i) END))"
     )
     fact = (
-        f"transform(filter(sequence(1, n_messages), i -> (i - 1) % 20 < {per_block}), i -> named_struct('id', concat('f', i), "
+        f"transform(filter(sequence(1, {n}), i -> {told}), i -> named_struct('id', concat('f', i), "
         "'text', concat(i * 7, ' boxes'), 'first_seq', i, 'kind', 'number'))"
     )
-    return planned.select("id", "category", F.expr(message).alias("messages"), F.expr(fact).alias("facts"))
+    change = (
+        f"transform(filter(sequence(1, {n}), i -> i > 20 AND (i - 1) % 20 = 0), i -> named_struct('fact_id', concat('f', i - 20), "
+        "'superseded_by', concat('f', i), 'seq', i))"
+    )
+    return planned.select(
+        "id",
+        "category",
+        F.expr(f"transform(sequence(1, {peers}), i -> named_struct('name', {names}, 'role', 'user', 'bio', cast(null AS string)))").alias("peers"),
+        F.expr(message).alias("messages"),
+        F.expr(fact).alias("facts"),
+        F.expr(change).alias("changes"),
+        F.expr(f"array(named_struct('text', concat({n} * 7 + 1, ' boxes')))").alias("distractors"),
+    )

@@ -41,6 +41,30 @@ def steps(chains: DataFrame) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def with_chunks(chains: DataFrame) -> DataFrame:
+    """Chains with their block lists: ``chunks`` and ``chunks_long``, arrays of (k, [lo, hi]), empty for short chains."""
+    n = "coalesce(size(messages), 0)"
+    made = lambda size: F.expr(
+        f"CASE WHEN {n} >= {size} THEN transform(sequence(0, {n} div {size} - 1), k -> struct(cast(k AS int) AS k, array(cast(k * {size} + 1 AS int), cast((k + 1) * {size} AS int)) AS seqs))"
+        " ELSE cast(array() AS array<struct<k:int,seqs:array<int>>>) END"
+    )
+    return chains.withColumns({"chunks": made(SIZES["short"]), "chunks_long": made(SIZES["long"])})
+
+
+def stored_steps(chains: DataFrame) -> DataFrame:
+    """(chain, kind, k, lo, hi) from the block lists that chains carry; null blocks are left out."""
+    parts = [
+        chains.select(F.col("id").alias("chain"), F.lit(kind).alias("kind"), F.explode(column).alias("c")).where("c IS NOT NULL")
+        for kind, column in (("short", "chunks"), ("long", "chunks_long"))
+    ]
+    return parts[0].unionByName(parts[1]).select("chain", "kind", "c.k", F.get("c.seqs", F.lit(0)).alias("lo"), F.get("c.seqs", F.lit(1)).alias("hi"))
+
+
+def chain_view(chains: DataFrame, kind: str) -> DataFrame:
+    """Chains as a kind of step sees them: its block list in ``chunks``."""
+    return chains.withColumn("chunks", F.col("chunks" if kind == "short" else "chunks_long"))
+
+
 def step_order(all_steps: DataFrame) -> DataFrame:
     """Steps with their place in the chain: by their last message, short before long."""
     from pyspark.sql.window import Window

@@ -94,7 +94,14 @@ def valid_names(spark, base):
     return table(spark, base, "chosen").select("row_id", routing.valid_name(F.col("id")).alias("valid")).distinct()
 
 
-@query()
+_PICK = "CAST(('0x' || substring(md5('{0}' || CAST(id AS VARCHAR)), 1, 7))::BIGINT % {1} AS INTEGER)"
+_PLAN = f"""c AS (SELECT category, count(*) AS n FROM good WHERE category IS NOT NULL GROUP BY category), w AS (SELECT category, CAST(ceil(n * 20 / (SELECT sum(n) FROM c)::DOUBLE) AS INTEGER) AS w FROM c),
+ q AS (SELECT row_number() OVER (ORDER BY (i + 0.5::DOUBLE) / w, category) - 1 AS place, category FROM w, LATERAL (SELECT unnest(range(0, w)) AS i)),
+ th AS (SELECT list(domain ORDER BY domain) AS ts FROM (SELECT DISTINCT domain FROM good WHERE domain IS NOT NULL)),
+ plan AS (SELECT printf('c%08d', id) AS id, q.category, ts[{_PICK.format('theme', 'len(ts)')} + 1] AS theme, [60, 80, 100, 120][{_PICK.format('size', 4)} + 1] AS n_messages FROM (SELECT unnest(range(0, 1000)) AS id) r CROSS JOIN th JOIN q ON q.place = r.id % (SELECT sum(w) FROM w))"""
+
+
+@query(f"WITH {GOOD}, {_PLAN} SELECT id, category, theme, n_messages FROM plan")
 def generation_plan(spark, base):
     """A plan of 1,000 conversations over the chains' own categories and domains."""
     good = steps.good_chains(table(spark, base, "chains"))
@@ -103,15 +110,11 @@ def generation_plan(spark, base):
     return generation.plan(spark, 1000, weights or {"any": 1}, [r.category for r in domains] or ["any"])
 
 
-@query()
+@query(f"WITH {GOOD}, {_PLAN} SELECT id, 2::BIGINT AS n_new, 0::BIGINT AS n_carry, 1.0::DOUBLE AS fact_coverage_new, NULL::DOUBLE AS latest_state, false AS fabrication FROM plan")
 def mock_scores(spark, base):
-    """Generated chains scored with their own messages as the summary: all facts are covered."""
-    planned = generation_plan(spark, base)
-    chains = generation.mock_chains(planned).select(
-        "id", "category", F.expr("array(named_struct('name', 'Ann', 'role', 'user', 'bio', cast(null as string)))").alias("peers"), "messages", "facts",
-        F.expr("cast(array() as array<struct<fact_id:string,superseded_by:string,seq:int>>)").alias("changes"),
-        F.expr("cast(array() as array<struct<text:string>>)").alias("distractors"),
-    )
+    """Generated chains scored with their first block as the summary: all its facts are covered."""
+    chains = generation.mock_chains(generation_plan(spark, base), peers=3)
     t = steps.transcripts(chains, "short").where("k = 0")
-    rows = t.select(F.xxhash64("chain").alias("row_id"), "chain", F.lit("short").alias("kind"), "k", F.col("transcript").alias("summary"), F.lit(400).alias("output_words"))
-    return scoring.score_rows(rows, chains)
+    rows = t.select(F.substring("chain", 2, 8).cast("long").alias("row_id"), "chain", F.lit("short").alias("kind"), "k", F.col("transcript").alias("summary"), F.lit(400).alias("output_words"))
+    got = scoring.score_rows(rows, chains)
+    return got.select(F.format_string("c%08d", "row_id").alias("id"), "n_new", "n_carry", "fact_coverage_new", "latest_state", "fabrication")

@@ -508,7 +508,16 @@ def pad_batch(spark, base):
     return training.pad_batches(rows.select("row_id", "batch", "input_ids"), "batch", "input_ids", 0).select("row_id", F.size("input_ids").alias("padded"))
 
 
-@query()
+_SAID = "CASE WHEN contains(l, ': ') THEN l[:instr(l, ': ') - 1] || ' said ' || rtrim(l[instr(l, ': ') + 2:], '.!?') || '.' ELSE l || ' said .' END"
+_SPLIT = "list_filter(regexp_split_to_array({0}, '[\\s\\x1c-\\x1f\\x{{85}}\\p{{Z}}]+'), lambda w: w <> '')"
+
+
+@query(
+    f"""WITH RECURSIVE t AS (SELECT *, 'short' AS kind FROM ({_transcript_sql("short")}) UNION ALL SELECT *, 'long' FROM ({_transcript_sql("long")})),
+ s AS (SELECT chain, kind, k, flatten(list_transform(string_split(transcript, chr(10)), lambda l: {_SPLIT.format(_SAID)})) AS ws, CAST(floor(CAST(floor(CASE kind WHEN 'short' THEN least(tokens, 1000) ELSE 4000 END * 0.75::DOUBLE) AS INTEGER) * 0.8::DOUBLE) AS INTEGER) AS room FROM t),
+ r AS (SELECT chain, kind, k, ws[:room] AS held FROM s WHERE k = 0 UNION ALL SELECT s.chain, s.kind, s.k, list_concat(r.held, s.ws)[:s.room] FROM r JOIN s ON s.chain = r.chain AND s.kind = r.kind AND s.k = r.k + 1)
+ SELECT chain, kind, k, array_to_string(held, ' ') AS summary, NULL::VARCHAR AS error FROM r"""
+)
 def honest_walk(spark, base):
     """Every chain's steps summarised in order from its own earlier summaries, by a deterministic producer."""
     good = _good(spark, base)

@@ -62,6 +62,21 @@ def _wanted(spark, base):
     return workflow.wanted_rows(steps.steps(_good(spark, base)), _produced(spark, base))
 
 
+_STORED = "SELECT id AS chain, '{0}' AS kind, c.k AS k, c.seqs[1] AS lo, c.seqs[2] AS hi FROM good, LATERAL (SELECT unnest({1}) AS c) WHERE c IS NOT NULL"
+
+
+@query(f"WITH {GOOD} {_STORED.format('short', 'chunks')} UNION ALL {_STORED.format('long', 'chunks_long')}")
+def stored_steps(spark, base):
+    """Blocks as the chains' own lists have them."""
+    return steps.stored_steps(_good(spark, base))
+
+
+@query(f"WITH {GOOD}, {STEPS} SELECT chain, kind, k, lo, hi FROM steps")
+def attached_steps(spark, base):
+    """Blocks by lists attached anew."""
+    return steps.stored_steps(steps.with_chunks(_good(spark, base)))
+
+
 @query(f"WITH {GOOD}, {STEPS}, {PRODUCED}, {WANTED} SELECT * FROM wanted")
 def wanted_rows(spark, base):
     return _wanted(spark, base)
