@@ -34,6 +34,13 @@ def outcome(reason: str = "stop_reason") -> Column:
     )
 
 
+def scored_outcomes(rows: DataFrame, scores: DataFrame, key: str = "row_id", reason: str = "stop_reason") -> DataFrame:
+    """Distinct rows' key, outcome and scores; rows that failed, are empty or hit their cap have none."""
+    told = rows.select(key, outcome(reason).alias("outcome")).distinct()
+    scored = told.where(F.col("outcome").isin("good", "over_budget")).select(key).join(scores, key)
+    return told.join(scored, key, "left")
+
+
 def next_job() -> Column:
     """How a row is produced again: compressed if it was merely too long, the last time said so; else afresh."""
     cut = F.coalesce("stop_reason", F.lit("")).isin("max_tokens", "length")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from threadloom.operators import generation, routing, scoring, steps
-from threadloom.plans.reference import BLANK_SQL, DUE, GOOD, STEPS
+from threadloom.plans.reference import BLANK_SQL, DUE, GOOD, STEPS, scores_sql
 from threadloom.sources.tables import table
 
 QUERIES: dict = {}
@@ -35,6 +35,17 @@ def row_routes(spark, base):
     return table(spark, base, "chosen").select("row_id", routing.outcome().alias("outcome"), routing.next_job().alias("job")).distinct()
 
 
+@query(
+    f"""WITH f AS ({scores_sql('chosen')}), o AS (SELECT DISTINCT row_id, CASE WHEN {_FAILED} THEN 'failed' WHEN {BLANK_SQL} THEN 'empty' WHEN {_CUT} THEN 'truncated' WHEN {_OVER} THEN 'over_budget' ELSE 'good' END AS outcome FROM chosen)
+ SELECT o.row_id, o.outcome, f.fact_coverage_new, f.fact_coverage_carry, f.fabrication FROM o LEFT JOIN f ON f.row_id = o.row_id AND o.outcome IN ('good', 'over_budget')"""
+)
+def scored_outcomes(spark, base):
+    """What became of each row, with fresh scores where there is something to score."""
+    rows = table(spark, base, "chosen")
+    scores = scoring.score_rows(rows, steps.good_chains(table(spark, base, "chains"))).select("row_id", "fact_coverage_new", "fact_coverage_carry", "fabrication")
+    return routing.scored_outcomes(rows, scores)
+
+
 @query(
     f"""SELECT teacher, count(*) AS rows, count(*) FILTER ({_FAILED}) AS failed, count(*) FILTER ({_OVER}) AS over_budget, count(*) FILTER ({_FAILED} AND coalesce(attempts, 0) >= 3) AS gave_up
  FROM (SELECT DISTINCT row_id, teacher, summary, words, output_words, attempts, "__failed__" FROM chosen) GROUP BY teacher"""
