@@ -123,6 +123,27 @@ def test_blocks_keep_recall():
         assert (1 - overlap.AGREEMENT ** len(plan[0])) ** len(plan) <= overlap.MISS + 1e-9
 
 
+def test_blocks_are_taken_in_rounds(spark, monkeypatch):
+    """No round has more block rows or pairs than the texts allow; the pairs are those of all blocks at once."""
+    rng, taken, near = random.Random(15), [], []
+    rows, want = [], set()
+    for i in range(150):
+        ws = rng.choices(VOCABULARY, k=200)
+        rows += [(2 * i, record(ws), "train", "s"), (2 * i + 1, record(scattered(ws, 0.1, rng, lambda: rng.choice(VOCABULARY))), "test", "s")]
+        want.add((2 * i, 2 * i + 1))
+    df = spark.createDataFrame(rows, f"row_id long, messages {MESSAGES}, split string, source string")
+    for name, allowed in (("ROUND_BLOCKS", (16, 0)), ("ROUND_NEAR", (4, 0)), ("ROUND_TEXTS", (0.25, 0))):
+        monkeypatch.setattr(overlap, name, allowed, raising=False)
+    blocks, room = overlap._blocks, overlap.with_room
+    monkeypatch.setattr(overlap, "_blocks", lambda *args: taken.append(args[-1]) or blocks(*args))
+    monkeypatch.setattr(overlap, "with_room", lambda pairs, *args: near.append(pairs.count()) or room(pairs, *args))
+    got = {(r.train_id, r.other_id) for r in overlap.cross_split_overlaps(df).collect()}
+    assert got == want
+    assert max(map(len, taken)) <= 16 and [b for part in taken for b in part] == overlap.block_plan(300)
+    assert max(near) <= 4 * 300
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_leaks_as_in_plain_python(spark):
     rng = random.Random(8)
     names = [f"né{chr(97 + i % 26)}{i}" for i in range(900)]
