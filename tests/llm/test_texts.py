@@ -79,6 +79,19 @@ def test_oversized_tables(spark):
     assert chunks.split_oversized(df.withColumn("_text", F.lit(1)), "doc_id", "text", ranks).where("piece = 0").count() == 2
 
 
+def test_found_documents_are_those_split(spark, own, monkeypatch, tmp_path):
+    from threadloom.llm import queries
+
+    texts = [None, "", "word " * 790, "word " * 900, "A line ends here. " * 400, "漢" * 900, "x y " * 399]
+    df = spark.createDataFrame(list(enumerate(texts)) + [(3, texts[3])], "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    split, made = chunks.split_oversized, []
+    monkeypatch.setattr(chunks, "split_oversized", lambda *args: made.append(split(*args)) or made[-1])
+    got = sorted(r.doc_id for r in queries.p9_found(spark, str(tmp_path)).collect())
+    assert got == sorted([3] + [i for i, t in enumerate(texts) if chunks.pieces(t or "", own, 800, 40)]) and 3 in got and 4 in got
+    assert len(made) == 1 and got == sorted(r.doc_id for r in made[0].where("piece = 0").collect())
+
+
 def repeated(text, n=5):
     ws = re.findall(r"\w+", (text or "").lower())
     seen, covered = set(), set()
