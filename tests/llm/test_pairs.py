@@ -346,6 +346,33 @@ def test_variants_of_a_template_vote_together(spark, monkeypatch):
     assert told(spark, rows) == {f"x{i}": "template" for i in range(8)}
 
 
+def plain_roots(sentences):
+    """The root of each sentence by comparing all pairs."""
+    runs = {s: frozenset(" ".join(s.split()[i : i + 5]) for i in range(max(1, len(s.split()) - 4))) for s in sentences}
+    root = {s: s for s in sentences}
+    for s in sentences:
+        for t in sentences:
+            if len(runs[s] & runs[t]) >= 0.8 * len(runs[s] | runs[t]) and root[s] != root[t]:
+                low, high = sorted((root[s], root[t]))
+                root = {k: low if v == high else v for k, v in root.items()}
+    return root
+
+
+@pytest.mark.parametrize("part", [500, 7])
+def test_links_are_found_whatever_shares_their_band(spark, monkeypatch, part):
+    """The least sentence of a band is unlike the others, which are like one another; bands are compared in parts, too."""
+    monkeypatch.setattr(defects, "PART", part, raising=False)
+    rng = random.Random(16)
+    base = [f"w{i}" for i in range(60)]
+    alike = [" ".join([*base[:-1], f"end{i}"]) for i in range(3)]
+    unlike = [" ".join(["aaa"] + [f"x{n}" if i in at else w for i, w in enumerate(base) if i]) for n in range(120) for at in [rng.sample(range(6, 54), 2)]]
+    sentences = [*alike, *unlike, "short", "w0 w1 w2"]
+    want = plain_roots(sentences)
+    got = {r.sentence: r.root for r in defects.template_clusters(spark.createDataFrame([(s,) for s in sentences], "sentence string")).collect()}
+    assert len({want[s] for s in alike}) == 1 and want[alike[0]] != want[unlike[0]]
+    assert got == want
+
+
 def test_other_languages_without_a_list():
     swedish = "Gruppen enades om att trädgården ska öppnas igen på lördag eftersom alla vill hjälpa till med murarna".split()
     talk = " ".join(t for _, _, t in TALK)
